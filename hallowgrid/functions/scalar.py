@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html.entities
+import json
 import sys
 import unicodedata
 from functools import reduce
@@ -27,8 +28,14 @@ def blank_to_null(c: Column) -> Column:
 
 
 def literal_map(d: dict) -> Column:
-    """A small constant map; the plan folds it, nothing is joined or shipped."""
-    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    """A small constant map; the optimizer folds it, nothing is joined or shipped.
+
+    Written as one JSON literal: building it entry by entry costs a driver round trip
+    per value.
+    """
+    kinds = {type(v) for v in d.values()}
+    value = "string" if kinds <= {str} else "int" if kinds <= {int} else "double"
+    return F.from_json(F.lit(json.dumps(d)), f"map<string,{value}>")
 
 
 def lookup(d: dict, key: Column) -> Column:
@@ -77,7 +84,8 @@ def epoch_ms_date(c: Column) -> Column:
     """ISO day of an epoch in milliseconds; NULL unless positive and in range."""
     n = c.try_cast("double")
     ok = (n > 0) & (n < 253402300800000.0)
-    return F.when(ok, F.date_format(F.timestamp_millis(F.when(ok, n).cast("bigint")), "yyyy-MM-dd"))
+    # Days since the epoch: independent of the session's time zone.
+    return F.when(ok, F.date_from_unix_date(F.floor(F.when(ok, n) / 86400000).cast("int")).cast("string"))
 
 
 def iso_date(c: Column) -> Column:

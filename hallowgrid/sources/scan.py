@@ -134,27 +134,32 @@ def feed_entries(df: DataFrame, raw: Column) -> DataFrame:
     blocks = F.regexp_extract_all(raw, F.lit(r"(?is)<(item|entry)\b.*?</\1>"), F.lit(0))
 
     def pick(*tags: str) -> Column:
-        out = None
+        """First tag with a body (to be cleaned) or an href (taken as it is)."""
+        tries = []
         for t in tags:
-            body = rf"(?is)<{t}[^>]*>(.*?)</{t}>"
-            href = rf'(?i)<{t}[^>]*href="([^"]+)"'
-            b = F.col("__b")
-            cond = [
-                (b.rlike(body), scalar.clean(F.regexp_extract(b, body, 1))),
-                (b.rlike(href), F.regexp_extract(b, href, 1)),
-            ]
-            for c, v in cond:
-                out = F.when(c, v) if out is None else out.when(c, v)
-        return out.otherwise(F.lit(""))
-
-    return df.select("*", F.posexplode(blocks).alias("entry_pos", "__b")).select(
+            body = F.get(F.regexp_extract_all("__b", F.lit(rf"(?is)<{t}[^>]*>(.*?)</{t}>"), F.lit(1)), 0)
+            href = F.get(F.regexp_extract_all("__b", F.lit(rf'(?i)<{t}[^>]*href="([^"]+)"'), F.lit(1)), 0)
+            for value, markup in ((body, True), (href, False)):
+                tries.append(F.when(value.isNotNull(), F.struct(value.alias("v"), F.lit(markup).alias("m"))))
+        return F.coalesce(*tries)
+
+    picked = {
+        "title": pick("title"),
+        "link": pick("link", "id"),
+        "summary": pick("description", "summary", "content"),
+        "published": pick("pubDate", "published", "updated"),
+    }
+    one = df.select("*", F.posexplode(blocks).alias("entry_pos", "__b")).select(
+        *df.columns, "entry_pos", *[v.alias(f"__{k}") for k, v in picked.items()]
+    )
+    raw_text = one.select(
         *df.columns,
         "entry_pos",
-        pick("title").alias("title"),
-        pick("link", "id").alias("link"),
-        pick("description", "summary", "content").alias("summary"),
-        pick("pubDate", "published", "updated").alias("published"),
+        *[F.col(f"__{k}.v").alias(k) for k in picked],
+        *[F.coalesce(F.col(f"__{k}.m"), F.lit(False)).alias(f"__{k}_m") for k in picked],
     )
+    texts = {k: F.when(F.col(f"__{k}_m"), scalar.clean(F.col(k))).otherwise(F.coalesce(k, F.lit(""))) for k in picked}
+    return raw_text.select(*df.columns, "entry_pos", *[v.alias(k) for k, v in texts.items()])
 
 
 def read_feed_items(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
