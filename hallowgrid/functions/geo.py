@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .scalar import exact_round
+from .scalar import exact_round, let
 
 METRES_PER_DEG = 111320.0
 MERCATOR_R = 6378137.0
@@ -118,13 +118,13 @@ def unwrap_antimeridian(vertices: Column) -> Column:
     east = F.size(F.filter(lngs, lambda x: x > 0))
     west = F.size(F.filter(lngs, lambda x: x < 0))
     spans = (F.array_max(lngs) - F.array_min(lngs) > 180) & (east > 0) & (west > 0)
+    # +1: western vertices move east, -1: eastern vertices move west, 0: none.
+    side = F.when(~spans, F.lit(0)).when(east >= west, F.lit(1)).otherwise(F.lit(-1))
 
-    def moved(v: Column) -> Column:
-        lng = (
-            F.when((east >= west) & (v["lng"] < 0), v["lng"] + 360)
-            .when((east < west) & (v["lng"] > 0), v["lng"] - 360)
-            .otherwise(v["lng"])
+    def shifted(s: Column) -> Column:
+        return F.transform(
+            vertices,
+            lambda v: point(v["lat"], F.when(v["lng"] * s < 0, v["lng"] + s * 360).otherwise(v["lng"])),
         )
-        return point(v["lat"], lng)
 
-    return F.when(spans, F.transform(vertices, moved)).otherwise(vertices)
+    return let(side, shifted)

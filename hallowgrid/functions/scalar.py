@@ -27,6 +27,15 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An expression captured by a lambda is evaluated again for every element; binding
+    it to a lambda variable first avoids that.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def literal_map(d: dict) -> Column:
     """A small constant map; the optimizer folds it, nothing is joined or shipped.
 

@@ -63,25 +63,18 @@ def gazetteer_lookup(df: DataFrame, query: Column, gazetteer: DataFrame, fallbac
 
 
 # --- J3 -----------------------------------------------------------------------------
-_RUN = r"[a-z]+|[^a-z]+"
-
-
-def _core(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[^a-z]+|[^a-z]+$", "")
-
-
 def word_grams(folded: Column, longest: int) -> Column:
-    """Distinct runs of 1..``longest`` words of a folded text, separators kept as written."""
-    runs = F.regexp_extract_all(folded, F.lit(_RUN), F.lit(0))
-    n = F.size(runs)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.get(runs, i - 1).rlike("^[a-z]"))
+    """Distinct runs of 1..``longest`` words, separators kept as written.
 
-    def grams(words: int) -> Column:
-        width = 2 * words - 1
-        fits = F.filter(starts, lambda i: i + width - 1 <= n)
-        return F.transform(fits, lambda i: F.array_join(F.slice(runs, i, width), ""))
-
-    return F.array_distinct(F.concat(*[grams(k) for k in range(1, longest + 1)]))
+    A look-ahead at every word start captures overlapping runs, so each length is one
+    pass of the matcher.  A second capture adds one closing mark ("u.s.").
+    """
+    passes = []
+    for n in range(1, longest + 1):
+        run = "[a-z]+" + "[^a-z]+[a-z]+" * (n - 1)
+        passes.append(rf"(?<![a-z])(?=({run}))")
+        passes.append(rf"(?<![a-z])(?=({run}[^a-z\s](?![a-z])))")
+    return F.array_distinct(F.concat(*[F.regexp_extract_all(folded, F.lit(p), F.lit(1)) for p in passes]))
 
 
 def gazetteer_from(spark, regions: dict, countries: dict, names: dict | None = None) -> DataFrame:
@@ -101,17 +94,14 @@ def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: i
     """Add ``iso`` and ``region`` of the highest-ranked place named in a folded text.
 
     ``gazetteer`` has ``alias, iso, region, priority``; aliases are folded and match
-    between characters other than a-z.  The texts' word runs are joined to the aliases
-    by equality, so there is no text x alias loop; an alias with outer punctuation
-    ("u.s.") is joined on its lettered core and then verified in the text.  ``longest``
-    is the number of words of the longest alias.
+    between characters other than a-z; they start with a letter and may end with one
+    punctuation mark.  The texts' word runs are joined to the aliases by equality, so
+    there is no text x alias loop, and the text itself is not carried along.
+    ``longest`` is the number of words of the longest alias.
     """
     key = [key] if isinstance(key, str) else list(key)
-    g = gazetteer.select(_core(F.col("alias")).alias("gram"), "alias", "iso", "region", "priority")
-    texts = df.select(*key, folded.alias("__t")).filter(F.col("__t") != "")
-    grams = texts.select(*key, "__t", F.explode(word_grams(F.col("__t"), longest)).alias("gram"))
-    pattern = F.concat(F.lit(r"(?<![a-z])\Q"), F.col("alias"), F.lit(r"\E(?![a-z])"))
-    hits = grams.join(g, "gram").filter((F.col("alias") == F.col("gram")) | F.regexp_like("__t", pattern))
+    grams = df.select(*key, F.explode(word_grams(folded, longest)).alias("alias"))
+    hits = grams.join(gazetteer.select("alias", "iso", "region", "priority"), "alias")
     best = hits.groupBy(*key).agg(F.min_by(F.struct("iso", "region"), "priority").alias("__p"))
     return df.join(best, key, "left").select(*df.columns, F.col("__p.iso").alias("iso"), F.col("__p.region").alias("region"))
 
@@ -119,15 +109,15 @@ def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: i
 # --- J4 -----------------------------------------------------------------------------
 def explode_phrases(df: DataFrame, c: Column, phrases, ord_name: str = "phrase_ord") -> DataFrame:
     """One row per listed phrase the text contains: ``phrase_ord``, ``phrase``, ``label``."""
-    low = F.lower(c)
-    table = F.array(
-        *[
-            F.struct(F.lit(i).alias(ord_name), F.lit(p).alias("phrase"), F.lit(label).alias("label"))
-            for i, (p, label) in enumerate(phrases)
-        ]
-    )
-    matched = F.filter(table, lambda x: F.contains(low, F.lower(x["phrase"])))
-    return df.select("*", F.inline(matched))
+    low = df.withColumn("__low", F.lower(c))
+    found = [
+        F.when(
+            F.contains("__low", F.lit(p.lower())),
+            F.struct(F.lit(i).alias(ord_name), F.lit(p).alias("phrase"), F.lit(label).alias("label")),
+        )
+        for i, (p, label) in enumerate(phrases)
+    ]
+    return low.select(*df.columns, F.inline(F.array_compact(F.array(*found))))
 
 
 # --- J6 -----------------------------------------------------------------------------

@@ -72,7 +72,7 @@ def q_num(x: float) -> str:
 
 
 def q_snap(x: str, g: str = "0.05::DOUBLE") -> str:
-    m = f"fmod({x}, {g})"
+    m = f"(({x}) % ({g}))"
     return f"round((round(({x} - {m}) / ({g})) - CASE WHEN {m} < 0 THEN 1 ELSE 0 END) * ({g}) + ({g}) / 2, 4)"
 
 

@@ -27,8 +27,8 @@ def payload_rows(v: Column, keys) -> Column:
 
 def unwrap_payloads(df: DataFrame, payload: Column, keys=vocab.GRID_ROW_KEYS) -> DataFrame:
     """One variant ``row`` (with its position ``row_pos``) per element of each payload."""
-    v = F.try_parse_json(payload)
-    return df.select("*", F.posexplode(payload_rows(v, keys)).alias("row_pos", "row"))
+    parsed = df.withColumn("__v", F.try_parse_json(payload))
+    return parsed.select(*df.columns, F.posexplode(payload_rows(F.col("__v"), keys)).alias("row_pos", "row"))
 
 
 def read_record_document(spark: SparkSession, path: str, keys=("records", "projects"), schema=RECORD) -> DataFrame:
