@@ -71,8 +71,27 @@ def first_phrase(c: Column, phrases, default=None) -> Column:
     return first_match([(F.contains(c, F.lit(p)), label) for p, label in phrases], default)
 
 
+def factored(patterns, depth: int = 3) -> str:
+    """Alternation of patterns grouped by their first plain letters, so that a position
+    is decided on its next characters and not by trying every branch."""
+    groups: dict[str, list[str]] = {}
+    for p in patterns:
+        # A letter can only be split off when no quantifier applies to it.
+        plain = depth > 0 and p[:1].isalpha() and p[1:2] not in ("?", "*", "+", "{")
+        groups.setdefault(p[0] if plain else "", []).append(p[1:] if plain else p)
+    out = []
+    for head, rest in groups.items():
+        if not head:
+            out += rest
+        elif len(rest) == 1:
+            out.append(head + rest[0])
+        else:
+            out.append(head + "(?:" + factored(rest, depth - 1) + ")")
+    return "|".join(out)
+
+
 def whole_words(patterns) -> str:
-    return r"(?iU)\b(?:" + "|".join(patterns) + r")\b"
+    return r"(?iU)\b(?:" + factored(patterns) + r")\b"
 
 
 def word_in(c: Column, needle: str) -> Column:
