@@ -8,7 +8,7 @@ import sys
 import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -36,6 +36,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def keep_where(df: DataFrame, cols: dict, cond: Column) -> DataFrame:
+    """Add ``cols`` and keep the rows where ``cond`` (over them) holds, computing each once.
+
+    The optimizer pushes a filter below a projection by copying the projected
+    expressions into it, once per reference and again for the output.  For parsed
+    documents and scanned texts that multiplies the dearest work of the plan.  A
+    per-partition value in the projection keeps the filter above it.
+    """
+    sealed = df.withColumns({**cols, "__part": F.spark_partition_id()})
+    return sealed.filter((F.col("__part") >= 0) & cond).drop("__part")
+
+
 def literal_map(d: dict) -> Column:
     """A small constant map; the optimizer folds it, nothing is joined or shipped.
 

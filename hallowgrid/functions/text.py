@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .scalar import blank_to_null, fold_literal
+from .scalar import blank_to_null, fold_literal, let
 
 # Above this many terms one alternation scan beats one substring scan per term.
 _CONTAINS_LIMIT = 12
@@ -200,25 +200,27 @@ def fresh_enough(date_iso: Column, today: Column, days: int) -> Column:
 # --- P12, P13: facilities -------------------------------------------------------------
 def lower_tags(tags: Column) -> Column:
     """Tags with lower-case keys and values; of keys that differ only by case the last counts."""
-    e = F.map_entries(tags)
-    keyed = F.transform(e, lambda x: F.struct(F.lower(x["key"]).alias("key"), F.lower(x["value"]).alias("value")))
-    n = F.size(keyed)
-    last = F.filter(
-        keyed,
-        lambda x, i: ~F.exists(F.slice(keyed, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda y: y["key"] == x["key"]),
+
+    def last_of_each(keyed: Column) -> Column:
+        last = F.filter(keyed, lambda x, i: F.size(F.filter(keyed, lambda y, j: (j > i) & (y["key"] == x["key"]))) == 0)
+        return F.map_from_entries(last)
+
+    lowered = F.transform(
+        F.map_entries(tags), lambda e: F.struct(F.lower(e["key"]).alias("key"), F.lower(e["value"]).alias("value"))
     )
-    return F.map_from_entries(last)
+    return let(lowered, last_of_each)
 
 
 def facility_type(tags: Column, rules=vocab.FACILITY_RULES) -> Column:
-    t = lower_tags(tags)
+    def typed(t: Column) -> Column:
+        def tagged(pairs) -> Column:
+            return reduce(
+                lambda a, b: a | b, [F.coalesce(F.try_element_at(t, F.lit(k)) == v, F.lit(False)) for k, v in pairs]
+            )
 
-    def tagged(pairs) -> Column:
-        return reduce(
-            lambda a, b: a | b, [F.coalesce(F.try_element_at(t, F.lit(k)) == v, F.lit(False)) for k, v in pairs]
-        )
+        return first_match([(tagged(pairs), label) for label, pairs in rules])
 
-    return first_match([(tagged(pairs), label) for label, pairs in rules])
+    return let(lower_tags(tags), typed)
 
 
 def refused_site(tags: Column, ftype: Column | None = None) -> Column:

@@ -262,7 +262,7 @@ def normalise_removed_grounds(spark, sf):
 
 
 # --- N7-N10 ---------------------------------------------------------------------------------
-_TITLES = ["Cemetery excavations", "Old graveyards", "Wahi tapu and burial sites", "Road works"]
+_TITLES = ["Cemetery excavations", "Old graveyard", "Wahi tapu and burial sites", "Road works"]
 
 
 def _datasets(spark, sf, ods: bool):
@@ -433,7 +433,7 @@ _T = ["Comment submitted by Navajo Nation.", "Navajo Nation objection to the min
     "N15, FN11, FN26, P10, W4",
     f"""WITH h AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderkey % 4 < 2)
         SELECT o_orderkey AS row_ord, 'Objection filed: Navajo Nation' AS name, upper({q_pick(_A_IDS, "o_orderkey")}) AS actor, strftime(o_orderdate, '%Y-%m-%d') AS date,
-          CASE WHEN o_orderkey % 3 = 2 THEN 38.8951 ELSE 38.8938 END AS lat, CASE WHEN o_orderkey % 3 = 2 THEN -77.0364 ELSE -77.0426 END AS lng,
+          CASE WHEN o_orderkey % 3 = 2 THEN 38.8951::DOUBLE ELSE 38.8938::DOUBLE END AS lat, CASE WHEN o_orderkey % 3 = 2 THEN -77.0364::DOUBLE ELSE -77.0426::DOUBLE END AS lng,
           CASE WHEN o_orderkey % 3 = 2 THEN 'admin' ELSE 'exact' END AS geo, 2 AS impact FROM h WHERE rn = 1""",
 )
 def normalise_comments(spark, sf):
@@ -446,7 +446,7 @@ def normalise_comments(spark, sf):
 @query(
     "N16, SC6, FN2",
     """SELECT c_custkey AS row_ord, c_name || ' graves' AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS region, 'Open' AS status,
-         'https://sahris.sahra.org.za/node/' || c_custkey AS url, '2019-05' AS date, -28.5 AS lat, 24.7 AS lng, 'admin' AS geo FROM customer WHERE c_custkey % 5 > 1""",
+         'https://sahris.sahra.org.za/node/' || c_custkey AS url, '2019-05' AS date, -28.5::DOUBLE AS lat, 24.7::DOUBLE AS lng, 'admin' AS geo FROM customer WHERE c_custkey % 5 > 1""",
 )
 def normalise_heritage_cases(spark, sf):
     k = F.col("c_custkey")

@@ -93,9 +93,10 @@ def reviews(raw: DataFrame, since: Column | None = None, topic: Column | None =
     low = F.lower("title")
     d = d.filter(~reduce(lambda a, b: a | b, [low.startswith(p) for p in vocab.REVIEW_EXCLUDED_STARTS]))
     body = F.concat_ws(" ", scalar.blank_to_null(F.col("title")), scalar.blank_to_null(F.col("abstract")))
-    d = d.withColumn("body", body).filter(text.on_topic(F.col("body")) if topic is None else topic)
-    d = d.withColumn("region", text.only_place(F.col("body"), [s[1] for s in vocab.STATES], longest))
-    d = dedup.first_wins(d.filter(F.col("region").isNotNull()), ["document_number"], ["row_ord"])
+    d = scalar.keep_where(d, {"body": body}, text.on_topic(F.col("body")) if topic is None else topic)
+    region = text.only_place(F.col("body"), [s[1] for s in vocab.STATES], longest)
+    d = scalar.keep_where(d, {"region": region}, F.col("region").isNotNull())
+    d = dedup.first_wins(d, ["document_number"], ["row_ord"])
     agency = F.try_element_at("agencies", LIT(1))["name"]
     out = d.withColumns(
         {
@@ -129,13 +130,9 @@ def permits(features: DataFrame) -> DataFrame:
         v = scalar.first_key(p, *names)
         return F.coalesce(scalar.iso_date(v), scalar.epoch_ms_date(v))
 
-    d = ensure_row_ord(features).withColumns(
-        {
-            "status0": alias("Status", "STATUS", "PermitStatus", "AHIPStatus"),
-            "at": geo.geometry_centre(F.col("geometry")),
-        }
-    )
-    d = d.filter(~text.dead_permit(F.col("status0")) & F.col("at").isNotNull())
+    status = alias("Status", "STATUS", "PermitStatus", "AHIPStatus")
+    d = scalar.keep_where(ensure_row_ord(features), {"status0": status}, ~text.dead_permit(F.col("status0")))
+    d = scalar.keep_where(d, {"at": geo.geometry_centre(F.col("geometry"))}, F.col("at").isNotNull())
     d = d.withColumns(
         {
             "permit": alias("AHIPNumber", "AHIP_NUMBER", "PermitNumber", "AHIP_No", "PERMITNO", "AHIPNo"),
@@ -173,7 +170,7 @@ def filings(raw: DataFrame, gazetteer: DataFrame) -> DataFrame:
     cols = [c for c in raw.columns if c != "row_ord"]
     raw = ensure_row_ord(raw)
     all_text = F.concat_ws(" ", *[scalar.blank_to_null(F.col(f"`{c}`").cast("string")) for c in cols])
-    d = raw.withColumn("blob", all_text).filter(text.on_topic(F.col("blob")))
+    d = scalar.keep_where(raw, {"blob": all_text}, text.on_topic(F.col("blob")))
 
     def alias(*names: str) -> Column:
         return scalar.strip(_t(scalar.first_column(cols, *names)))
@@ -214,8 +211,8 @@ def planning(features: DataFrame) -> DataFrame:
     def alias(*names: str) -> Column:
         return scalar.first_key(p, *names)
 
-    d = ensure_row_ord(features).withColumn("blob", scalar.blob(p)).filter(text.on_topic(F.col("blob")))
-    d = d.withColumn("at", geo.geometry_centre(F.col("geometry"))).filter(F.col("at").isNotNull())
+    d = scalar.keep_where(ensure_row_ord(features), {"blob": scalar.blob(p)}, text.on_topic(F.col("blob")))
+    d = scalar.keep_where(d, {"at": geo.geometry_centre(F.col("geometry"))}, F.col("at").isNotNull())
     desc = scalar.strip(F.coalesce(alias("description", "proposal", "name"), LIT("Planning application")))
     out = d.withColumns(
         {
@@ -279,7 +276,7 @@ def wanted_datasets(datasets: DataFrame, metric: str | None = None, topic=None,
     refused = text.site_register(words) if register is None else register(words)
     if metric:
         datasets = datasets.observe(metric, F.count_if(refused).alias("refused"))
-    return datasets.filter(~refused).filter(text.on_topic(words) if topic is None else topic(words))
+    return datasets.filter(~refused & (text.on_topic(words) if topic is None else topic(words)))
 
 
 def first_geojson(resources: Column) -> Column:
@@ -350,8 +347,8 @@ def holdings_grid(raw: DataFrame, grid: str = "Inventory", label: str = "invento
         "CountIndividuals", "Count", "Total",
     )
     counts = [scalar.loose_int(F.nullif(F.col(f"`{n}`").cast("string"), LIT("-"))) for n in named if n in cols]
-    d = d.withColumns({"inst": inst, "region": joins.state_name(state)})
-    d = d.filter((F.col("inst") != "") & F.col("region").isNotNull())
+    named_and_placed = (F.col("inst") != "") & F.col("region").isNotNull()
+    d = scalar.keep_where(d, {"inst": inst, "region": joins.state_name(state)}, named_and_placed)
     pending = "pending consultation or notice" if grid == "Inventory" else "reported unclaimed"
     out = d.withColumns(
         {
@@ -399,9 +396,8 @@ def projects_naming_remains(
     """Projects whose own text announces remains: reject phrases, then first phrase wins."""
     d = ensure_row_ord(projects).filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
     low = F.lower(F.concat_ws(" ", *[_t(F.col(c)) for c in ("name", "desc", "type", "status")]))
-    d = d.withColumn("low", low)
-    d = d.filter(text.contains_any(F.col("low"), [p for p, _ in phrases]))
-    d = d.filter(~text.contains_any(F.col("low"), reject))
+    wanted = text.contains_any(F.col("low"), [p for p, _ in phrases]) & ~text.contains_any(F.col("low"), reject)
+    d = scalar.keep_where(d, {"low": low}, wanted)
     d = d.withColumn("kind", text.first_phrase(F.col("low"), phrases))
     if limit:
         d = d.orderBy("row_ord").limit(limit)
@@ -434,10 +430,10 @@ def cases(raw: DataFrame, courts=vocab.COURTS, topic=None) -> DataFrame:
     """Court cases, plotted at the court; unlisted courts at national level."""
     snips = F.array_join(F.transform(F.coalesce("opinions", F.array().cast("array<struct<snippet:string>>")), lambda o: _t(o["snippet"])), " ")
     named = F.concat_ws(" ", _t(F.col("caseName")), _t(F.col("suitNature")))
-    d = ensure_row_ord(raw).withColumns({"snips": snips, "court_key": F.lower(_t(F.col("court_id")))})
-    d = d.filter(F.coalesce(F.col("cluster_id").cast("string"), LIT("")) != "")
-    words = F.concat(named, LIT(" "), F.col("snips"))
-    d = d.filter(text.on_topic(words) if topic is None else topic(words))
+    d = ensure_row_ord(raw).filter(F.coalesce(F.col("cluster_id").cast("string"), LIT("")) != "")
+    words = F.col("words")
+    cols = {"snips": snips, "court_key": F.lower(_t(F.col("court_id"))), "words": F.concat(named, LIT(" "), snips)}
+    d = scalar.keep_where(d, cols, text.on_topic(words) if topic is None else topic(words))
     d = dedup.first_wins(d, ["cluster_id"], ["row_ord"])
     at = joins.point_of(F.col("court_key"), courts)
     out = d.withColumns(
@@ -476,10 +472,11 @@ def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab
     if "term" not in raw.columns:
         raw = raw.withColumn("term", LIT(term))
     title = scalar.strip(_t(F.col("attributes.title")))
-    d = ensure_row_ord(raw).withColumn("title", title)
-    d = d.filter((F.coalesce(F.col("id"), LIT("")) != "") & (F.col("title") != ""))
-    d = d.withColumn("org", F.coalesce(scalar.comment_org(F.col("title")), F.col("title")))
-    d = dedup.first_wins(d.filter(text.objector(F.col("org"), orgs)), ["id"], ["row_ord"])
+    d = ensure_row_ord(raw).filter(F.coalesce(F.col("id"), LIT("")) != "")
+    d = scalar.keep_where(d, {"title": title}, F.col("title") != "")
+    org = F.coalesce(scalar.comment_org(F.col("title")), F.col("title"))
+    d = scalar.keep_where(d, {"org": org}, text.objector(F.col("org"), orgs))
+    d = dedup.first_wins(d, ["id"], ["row_ord"])
     agency = F.upper(_t(F.col("attributes.agencyId")))
     at = joins.point_of(agency, agencies)
     label = F.btrim(scalar.cut_label(scalar.strip(F.col("org"))), LIT(" ,.;:-"))
@@ -510,12 +507,13 @@ def heritage_cases(rows: DataFrame, row: str = "row", metric: str | None = None)
         at = F.try_variant_get(v, f"$.{key}", "variant")
         return F.when(F.schema_of_variant(at).startswith("OBJECT"), at).otherwise(v)
 
-    d = ensure_row_ord(rows.withColumn("__j", F.to_json(row)).drop(row)).withColumn("attrs", F.parse_json("__j"))
-    d = d.withColumn("attrs", inner(F.col("attrs"), "node")).withColumn("attrs", inner(F.col("attrs"), "attributes"))
+    # One text form of the innermost object; everything else reads from it.
+    base = rows.withColumn("__j", F.to_json(row)).drop(row)
+    attrs = scalar.let(F.parse_json("__j"), lambda v: scalar.let(inner(v, "node"), lambda n: F.to_json(inner(n, "attributes"))))
+    d = scalar.keep_where(ensure_row_ord(base), {"body": attrs}, text.on_topic(F.col("body")))
+    d = scalar.keep_where(d, {"attrs": F.parse_json("body")}, F.col("attrs").isNotNull())
     v = F.col("attrs")
-    d = d.withColumns({"title": scalar.variant_text(v, "title", "name", "label"), "body": F.to_json(v)})
-    d = d.filter(F.col("title").isNotNull())
-    d = d.filter(text.on_topic(F.concat("title", LIT(" "), "body")))
+    d = scalar.keep_where(d, {"title": scalar.variant_text(v, "title", "name", "label")}, F.col("title").isNotNull())
     refused = text.site_register(F.col("title"))
     if metric:
         d = d.observe(metric, F.count_if(refused).alias("refused"))
@@ -549,10 +547,10 @@ def holding_rows(rows: DataFrame) -> DataFrame:
 
     ``rows`` has ``state, label, first_number, second_number`` (and ``row_ord``).
     """
-    d = ensure_row_ord(rows).withColumn("institution", scalar.strip(F.regexp_replace("label", r"(?U)\s+", " ")))
     low = F.lower("institution")
     header = reduce(lambda a, b: a | b, [low.startswith(p) for p in _SUMMARY_STARTS])
-    d = d.filter((F.length("institution") >= 4) & ~header).withColumns(
+    name = scalar.strip(F.regexp_replace("label", r"(?U)\s+", " "))
+    d = scalar.keep_where(ensure_row_ord(rows), {"institution": name}, (F.length("institution") >= 4) & ~header).withColumns(
         {"not_available": scalar.grouped_int(F.col("first_number")), "made_available": scalar.grouped_int(F.col("second_number"))}
     )
     d = d.filter(F.col("not_available") + F.col("made_available") > 0)
@@ -586,12 +584,9 @@ def holdings(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 # --- N18, N19: linked data --------------------------------------------------------------------------
 def _bound(bindings: DataFrame) -> DataFrame:
-    d = ensure_row_ord(bindings).withColumns(
-        {"at": geo.wkt_point(F.col("coord")), "qid": F.element_at(F.split("item", "/"), -1)}
-    )
-    return d.filter(
-        F.col("at").isNotNull() & (F.coalesce("label", LIT("")) != "") & (F.coalesce("qid", LIT("")) != "")
-    )
+    cols = {"at": geo.wkt_point(F.col("coord")), "qid": F.element_at(F.split("item", "/"), -1)}
+    usable = F.col("at").isNotNull() & (F.coalesce("label", LIT("")) != "") & (F.coalesce("qid", LIT("")) != "")
+    return scalar.keep_where(ensure_row_ord(bindings), cols, usable)
 
 
 def graves(bindings: DataFrame, classes=vocab.GRAVE_CLASSES, metric: str | None = None) -> DataFrame:
@@ -651,7 +646,7 @@ def institutions(bindings: DataFrame, classes=vocab.INSTITUTION_CLASSES) -> Data
 def facilities(elements: DataFrame, metric: str | None = None, deg: int = 10) -> DataFrame:
     """Map elements to facility rows, all types in one scan."""
     tags = F.col("tags")
-    d = ensure_row_ord(elements).withColumn("ftype", text.facility_type(tags)).filter(F.col("ftype").isNotNull())
+    d = scalar.keep_where(ensure_row_ord(elements), {"ftype": text.facility_type(tags)}, F.col("ftype").isNotNull())
     refused = text.refused_site(tags, F.col("ftype"))
     if metric:
         d = d.observe(metric, F.count_if(refused).alias("refused"))
@@ -712,13 +707,15 @@ def news_candidates(
     for c, t in (("lang", "string"), ("topic", "string"), ("parsed", "timestamp")):
         if c not in d.columns:
             d = d.withColumn(c, LIT(None).cast(t))
-    d = d.withColumn("full_title", scalar.clean(F.col("title"))).filter(F.col("full_title") != "")
-    d = d.withColumn("snippet", F.left(scalar.clean(F.col("summary")), LIT(280)))
-    d = d.withColumn("folded", scalar.fold(F.concat("full_title", LIT(" "), "snippet")))
-    d = d.filter(~text.news_blocked(F.col("folded"), block) & text.news_allowed(F.col("folded"), allow))
-    d = d.withColumn("date", scalar.feed_date(_t(F.col("published")), F.col("parsed")))
-    d = d.filter(text.fresh_enough(F.col("date"), F.current_date() if today is None else today, max_age_days))
     d = d.filter(scalar.blank_to_null(F.col("link")).isNotNull())
+    cleaned = {"full_title": scalar.clean(F.col("title")), "snippet": F.left(scalar.clean(F.col("summary")), LIT(280))}
+    d = scalar.keep_where(d, cleaned, F.col("full_title") != "")
+    folded = scalar.fold(F.concat("full_title", LIT(" "), "snippet"))
+    wanted = ~text.news_blocked(F.col("folded"), block) & text.news_allowed(F.col("folded"), allow)
+    d = scalar.keep_where(d, {"folded": folded}, wanted)
+    date = scalar.feed_date(_t(F.col("published")), F.col("parsed"))
+    fresh = text.fresh_enough(F.col("date"), F.current_date() if today is None else today, max_age_days)
+    d = scalar.keep_where(d, {"date": date}, fresh)
     return d.withColumns(
         {
             "title": F.left("full_title", LIT(220)),

@@ -76,11 +76,8 @@ def geojson_features(df: DataFrame, payload: Column, per: int | None = None) ->
     props = F.try_variant_get("__f", "$.properties", "map<string,string>")
     out = one.select(*df.columns, "feature_pos", props.alias("props"), centre.alias("__c"))
     fixed = geo.usable_point(F.col("__c.lat"), F.col("__c.lng"))
-    return (
-        out.withColumn("__p", fixed)
-        .filter(F.col("__p").isNotNull())
-        .select(*df.columns, "feature_pos", "__p.lat", "__p.lng", "__p.reprojected", "props")
-    )
+    kept = scalar.keep_where(out, {"__p": fixed}, F.col("__p").isNotNull())
+    return kept.select(*df.columns, "feature_pos", "__p.lat", "__p.lng", "__p.reprojected", "props")
 
 
 def read_geojson(spark: SparkSession, path: str, per: int | None = None) -> DataFrame:
