@@ -1,5 +1,5 @@
 """All registered queries and their DuckDB oracles."""
 
-from . import base, classify, joining, records, scalars, scans  # noqa: F401
+from . import base, classify, joining, layers, records, scalars, scans, streams, summary  # noqa: F401
 
 QUERIES, ORACLES, COVERS = base.QUERIES, base.ORACLES, base.COVERS
