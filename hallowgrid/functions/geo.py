@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .scalar import exact_round, let
+from .scalar import let
 
 METRES_PER_DEG = 111320.0
 MERCATOR_R = 6378137.0
@@ -71,8 +71,9 @@ def floor_quotient(x: Column, step: float) -> Column:
 
 
 def snap(x: Column, step: float = 0.05) -> Column:
-    """Centre of the ``step`` degree cell ``x`` lies in."""
-    return exact_round(floor_quotient(x, step) * F.lit(step) + F.lit(step / 2.0), 4)
+    """Centre of the ``step`` degree cell ``x`` lies in, at four decimals."""
+    centre = floor_quotient(x, step) * F.lit(step) + F.lit(step / 2.0)
+    return F.rint(centre * F.lit(10000.0)) / F.lit(10000.0)
 
 
 def cell_index(x: Column, deg: float) -> Column:

@@ -337,13 +337,11 @@ def decimal_key(x: Column, digits: int) -> Column:
     """
     scale = float(10**digits)
     p = x * F.lit(scale)
-    hi = x * F.lit(134217729.0)
-    hi = hi - (hi - x)
-    err = (hi * F.lit(scale) - p) + (x - hi) * F.lit(scale)
-    base = F.floor(p).cast("double")
-    tie = (p - base) == 0.5
-    k = F.when(tie & (err > 0), base + 1).when(tie & (err < 0), base).otherwise(F.rint(p))
-    return k.cast("bigint")
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    error = (high * F.lit(scale) - p) + (x - high) * F.lit(scale)
+    tie = p - F.floor(p) == 0.5
+    # A quarter in the direction of the error settles the tie; no error leaves it even.
+    return F.when(tie, F.rint(p + F.signum(error) * 0.25)).otherwise(F.rint(p)).cast("bigint")
 
 
 def exact_round(x: Column, digits: int) -> Column:

@@ -46,15 +46,16 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, values, defaults: dict | None
 def gazetteer_lookup(df: DataFrame, query: Column, gazetteer: DataFrame, fallback: Column) -> DataFrame:
     """Attach ``hit`` (was the place found?) and ``at`` (its point, else ``fallback``).
 
-    ``gazetteer`` has ``q, lat, lng``, one row per lower-case query text.  Distinct
-    query texts are looked up first: repeated texts, however many rows share them,
-    cross the gazetteer shuffle once.
+    ``gazetteer`` has ``q, lat, lng``, one row per lower-case query text.  The rows pass
+    once: the text work above this join is not repeated to collect distinct queries.
+    Rows without a query are spread over salted keys, which match nothing, instead of
+    meeting in the partition of the NULL key.
     """
-    keyed = df.withColumn("__q", scalar.blank_to_null(F.lower(scalar.strip(query))))
-    wanted = keyed.select("__q").filter(F.col("__q").isNotNull()).distinct()
+    spread = F.col("row_ord") if "row_ord" in df.columns else F.monotonically_increasing_id()
+    q = scalar.blank_to_null(F.lower(scalar.strip(query)))
+    keyed = df.withColumn("__q", F.coalesce(q, F.concat(F.lit("\0"), F.pmod(F.xxhash64(spread), F.lit(64)).cast("string"))))
     g = gazetteer.select(F.lower("q").alias("__q"), F.struct("lat", "lng").alias("__at"))
-    found = wanted.join(g, "__q")
-    out = keyed.join(found, "__q", "left")
+    out = keyed.join(g, "__q", "left")
     return out.select(
         *df.columns,
         F.col("__at").isNotNull().alias("hit"),

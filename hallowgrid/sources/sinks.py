@@ -110,14 +110,13 @@ def export_json_lines(df: DataFrame, path: str) -> None:
 def publish_layer(df: DataFrame, path: str, min_ratio: float = 0.6, threshold: int = 40_000, deg: int = 10) -> Outcome:
     """Facilities partitioned by type and cell, and their manifest.
 
-    Rows are spread by type, cell and a per-row salt before the write: a cell that
-    holds a tenth of the world is written by several tasks, and small cells stay in
-    few files.
+    Rows are rebalanced by type and cell before the write: adaptive execution splits a
+    cell that holds a tenth of the world over several tasks and packs small cells
+    together, so neither one task nor the file count grows with the skew.
     """
     spark = df.sparkSession
     d = df if {"cell", "cell_lat", "cell_lng"} <= set(df.columns) else with_layer_cell(df, deg)
-    salt = F.pmod(F.xxhash64("lat", "lng"), F.lit(8))
-    spread = d.repartition("ftype", "cell_lat", "cell_lng", salt)
+    spread = d.hint("rebalance", "ftype", "cell_lat", "cell_lng")
     done = guarded_publish(spread, path, min_ratio=min_ratio, partition_by=("ftype", "cell_lat", "cell_lng"), name="layer")
     if done.written:
         written = spark.read.parquet(done.path)
