@@ -27,35 +27,38 @@ def _column(lng: Column, n: Column) -> Column:
     return F.floor((lng + 180.0) / (F.lit(360.0) / n)).cast("int")
 
 
-def _bins(points: DataFrame, name: str, cell: float) -> DataFrame:
-    """Points with the row, the column and the id of the small bin they fall in."""
-    row = _row(F.col("lat"), cell)
-    n = _columns(row, cell)
-    sub = F.struct(
-        F.floor(F.col("lat") / F.lit(cell / _SUB)).alias("i"),
-        F.floor((F.col("lng") + 180.0) / (F.lit(360.0) / (n * _SUB))).alias("j"),
+def _located(points: DataFrame, name: str, cell: float) -> DataFrame:
+    """Points with their cell (``row``, ``col``) and the small bin (``bi``, ``bj``) in it."""
+    p = points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    p = p.select("lat", "lng", F.col(name).alias("near_name"), _row(F.col("lat"), cell).alias("row"))
+    p = p.withColumn("__n", _columns(F.col("row"), cell))
+    n = F.col("__n")
+    return p.select(
+        "lat",
+        "lng",
+        "near_name",
+        "row",
+        F.pmod(_column(F.col("lng"), n), n).alias("col"),
+        F.floor(F.col("lat") / F.lit(cell / _SUB)).alias("bi"),
+        F.floor((F.col("lng") + 180.0) / (F.lit(360.0) / (n * _SUB))).alias("bj"),
     )
-    return points.select("lat", "lng", F.col(name).alias("near_name")).select("*", sub.alias("bin"))
 
 
-def _reach(bins: DataFrame, radius_m: float, cell: float) -> DataFrame:
-    """Every bin once per cell that its points can be within reach of."""
+def _reached_cells(sites: DataFrame, radius_m: float, cell: float) -> DataFrame:
+    """Every site once per cell within its reach (about four)."""
     rd = radius_m / geo.METRES_PER_DEG * (1 + 1e-9)
-    worst = F.least(F.greatest(F.abs("lat0"), F.abs("lat1")) + rd, F.lit(90.0))
-    cos = F.cos(F.radians(worst))
+    s, t = F.col("slat"), F.col("slng")
+    cos = F.cos(F.radians(F.least(F.abs(s) + rd, F.lit(90.0))))
     rl = F.when(cos > 1e-9, F.lit(rd) / cos).otherwise(F.lit(360.0))
-    rows = bins.select(
-        "*",
-        rl.alias("__rl"),
-        F.explode(F.sequence(_row(F.col("lat0") - rd, cell), _row(F.col("lat1") + rd, cell))).alias("row"),
+    rows = sites.select(
+        "slat", "slng", rl.alias("__rl"), F.explode(F.sequence(_row(s - rd, cell), _row(s + rd, cell))).alias("row")
     ).withColumn("__n", _columns(F.col("row"), cell))
-    lo = _column(F.col("lng0") - F.col("__rl"), F.col("__n"))
-    hi = _column(F.col("lng1") + F.col("__rl"), F.col("__n"))
     n = F.col("__n")
-    touched = F.when(hi - lo + 1 >= n, F.sequence(F.lit(0), n - 1)).otherwise(
-        F.transform(F.sequence(lo, hi), lambda x: F.pmod(x, n))
-    )
-    return rows.select("*", F.explode(touched).alias("col")).drop("__rl", "__n")
+    span = rows.withColumns({"__lo": _column(t - F.col("__rl"), n), "__hi": _column(t + F.col("__rl"), n)})
+    # Near the poles a reach can cover the whole row.
+    last = F.least(F.col("__hi"), F.col("__lo") + n - 1)
+    each = span.select("slat", "slng", "row", "__n", F.explode(F.sequence(F.col("__lo"), last)).alias("__c"))
+    return each.select("slat", "slng", "row", F.pmod(F.col("__c"), n).alias("col"))
 
 
 def nearest_within(
@@ -71,75 +74,66 @@ def nearest_within(
     Ties in distance take the lowest name.  Works at every latitude and across the
     antimeridian.
 
-    Plan.  Points are reduced to bins of an eighth of the radius before any join (one
-    representative, a bounding box); a left location meets at most a constant number
-    of bins, however many points or left rows share its surroundings.  A bin holding
-    one location is exact already.  Only for bins with several locations, and only
-    where the bin's box could still beat the best representative, are the points
-    themselves looked up.  So dense cells cost bins x locations, never points x rows.
+    Plan.  Points are first reduced to the bounding boxes of bins an eighth of the
+    radius wide, with map-side combining on four numbers.  A left location meets, by an
+    equi join on the cell, a bounded number of boxes however many points or left rows
+    share its surroundings; the nearest far corner among them bounds its distance, and
+    only boxes nearer than that bound stay open.  Points of open boxes are then
+    collapsed to distinct locations and measured.  Dense cells cost boxes x locations
+    and copies collapse, so no group ever produces all its pairs.
     """
     cell = 2.0 * radius_m / geo.METRES_PER_DEG
-    pts = _bins(points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()), name, cell)
-    bins = pts.groupBy("bin").agg(
-        F.min("lat").alias("lat0"),
-        F.max("lat").alias("lat1"),
-        F.min("lng").alias("lng0"),
-        F.max("lng").alias("lng1"),
-        F.min(F.struct("lat", "lng", "near_name")).alias("rep"),
+    bin_key = ["row", "col", "bi", "bj"]
+    pts = _located(points, name, cell)
+    boxes = pts.groupBy(*bin_key).agg(
+        F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.min("lng").alias("lng0"), F.max("lng").alias("lng1")
     )
-    several = (F.col("lat0") != F.col("lat1")) | (F.col("lng0") != F.col("lng1"))
-
     sites = (
         left.select(F.col(lat).cast("double").alias("slat"), F.col(lng).cast("double").alias("slng"))
         .filter(F.col("slat").isNotNull() & F.col("slng").isNotNull())
         .distinct()
-        .withColumn("row", _row(F.col("slat"), cell))
     )
-    n = _columns(F.col("row"), cell)
-    sites = sites.withColumn("col", F.pmod(_column(F.col("slng"), n), n))
-
     s, t = F.col("slat"), F.col("slng")
-    gap_lat = F.greatest(F.col("lat0") - s, s - F.col("lat1"), F.lit(0.0))
-    west, east = geo.lng_gap(t, F.col("lng0")), geo.lng_gap(t, F.col("lng1"))
-    inside = (west <= 0) & (east >= 0)
-    gap_lng = F.when(inside, F.lit(0.0)).otherwise(F.least(F.abs(west), F.abs(east)))
-    low_cos = F.least(F.cos(F.radians((s + F.col("lat0")) / 2.0)), F.cos(F.radians((s + F.col("lat1")) / 2.0)))
-    dy, dx = gap_lat * geo.METRES_PER_DEG, gap_lng * geo.METRES_PER_DEG * low_cos
-    floor_m = F.sqrt(dy * dy + dx * dx) * (1 - 1e-12)
-
-    met = (
-        sites.join(_reach(bins, radius_m, cell), ["row", "col"])
-        .select(
-            "slat",
-            "slng",
-            "bin",
-            several.alias("several"),
-            floor_m.alias("floor_m"),
-            geo.metres(s, t, F.col("rep.lat"), F.col("rep.lng")).alias("d"),
-            F.col("rep.near_name").alias("near_name"),
-        )
-        .filter(F.col("floor_m") <= radius_m)
+    lat0, lat1 = F.col("lat0"), F.col("lat1")
+    gaps = _reached_cells(sites, radius_m, cell).join(boxes, ["row", "col"]).withColumns(
+        {
+            "__west": geo.lng_gap(t, F.col("lng0")),
+            "__east": geo.lng_gap(t, F.col("lng1")),
+            "__c0": F.cos(F.radians((s + lat0) / 2.0)),
+            "__c1": F.cos(F.radians((s + lat1) / 2.0)),
+        }
     )
-    # "several" bins carry their id on; single ones are settled by their representative.
-    best = met.groupBy("slat", "slng").agg(
-        F.min(F.struct("d", "near_name")).alias("best"),
-        F.collect_list(F.when(F.col("several"), F.struct("floor_m", "bin"))).alias("open"),
+    west, east, c0, c1 = F.col("__west"), F.col("__east"), F.col("__c0"), F.col("__c1")
+    near_y = F.greatest(lat0 - s, s - lat1, F.lit(0.0)) * geo.METRES_PER_DEG
+    far_y = F.greatest(F.abs(lat0 - s), F.abs(lat1 - s)) * geo.METRES_PER_DEG
+    near_x = (
+        F.when((west <= 0) & (east >= 0), F.lit(0.0)).otherwise(F.least(F.abs(west), F.abs(east)))
+        * geo.METRES_PER_DEG
+        * F.least(c0, c1)
     )
-    settled = best.select("slat", "slng", "best")
-    again = best.select(
-        "slat",
-        "slng",
-        F.explode(F.filter("open", lambda x: x["floor_m"] <= F.col("best.d"))).alias("o"),
-    ).select("slat", "slng", F.col("o.bin").alias("bin"))
-    inner = again.join(pts.groupBy("bin", "lat", "lng").agg(F.min("near_name").alias("near_name")), "bin").select(
+    # The cosine peaks inside the span when the middle latitudes straddle the equator.
+    top_cos = F.when((s + lat0) * (s + lat1) <= 0, F.lit(1.0)).otherwise(F.greatest(c0, c1))
+    far_x = F.greatest(F.abs(west), F.abs(east)) * geo.METRES_PER_DEG * top_cos
+    slack = 1e-9
+    met = gaps.select(
         "slat",
         "slng",
-        F.struct(geo.metres(s, t, F.col("lat"), F.col("lng")).alias("d"), F.col("near_name")).alias("best"),
+        *bin_key,
+        (F.sqrt(near_y * near_y + near_x * near_x) * (1 - slack)).alias("least_m"),
+        (F.sqrt(far_y * far_y + far_x * far_x) * (1 + slack)).alias("most_m"),
+    ).filter(F.col("least_m") <= radius_m)
+    bounds = met.groupBy("slat", "slng").agg(
+        F.min("most_m").alias("bound"), F.collect_list(F.struct("least_m", *bin_key)).alias("boxes")
     )
+    open_boxes = bounds.select(
+        "slat", "slng", F.inline(F.filter("boxes", lambda b: b["least_m"] <= F.col("bound")))
+    ).drop("least_m")
+    wanted = pts.join(open_boxes.select(*bin_key).distinct(), bin_key, "left_semi")
+    spots = wanted.groupBy(*bin_key, "lat", "lng").agg(F.min("near_name").alias("near_name"))
     nearest = (
-        settled.unionByName(inner)
+        open_boxes.join(spots, bin_key)
         .groupBy("slat", "slng")
-        .agg(F.min("best").alias("best"))
+        .agg(F.min(F.struct(geo.metres(s, t, F.col("lat"), F.col("lng")).alias("d"), F.col("near_name"))).alias("best"))
         .filter(F.col("best.d") <= radius_m)
     )
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ... import vocab
 from ...functions import scalar, text
-from .base import STATE_NAMES, pick, q_in, q_pick, query, quoted, table
+from .base import STATE_NAMES, documents, pick, q_in, q_pick, query, quoted, table
 
 lit = F.lit
 _W = r"[\p{L}\p{M}\p{N}_]"
@@ -25,7 +25,7 @@ _EDGE_L, _EDGE_R = rf"(^|[^\p{{L}}\p{{M}}\p{{N}}_])", rf"($|[^\p{{L}}\p{{M}}\p{{
          AND (regexp_matches(text, '(?i){_EDGE_L}(tion|th(?:er|on)|sch){_EDGE_R}') OR contains(lower(text), 'écha')) AS keep FROM documents""",
 )
 def topic_filter(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", text.on_topic(F.col("text"), ALLOW, DENY, ("écha",)).alias("keep")
     )
 
@@ -36,7 +36,7 @@ def topic_filter(spark, sf):
 )
 def site_register_refusals(spark, sf):
     bad = text.site_register(F.col("text"), (r"th[0-9A-Za-z_]*\s+(?:tion|er)", r"ha\s+th", r"de\s*la"))
-    return table(spark, sf, "documents").groupBy("source").agg(
+    return documents(spark, sf).groupBy("source").agg(
         F.count(lit(1)).alias("datasets"), F.count_if(bad).alias("refused")
     )
 
@@ -58,7 +58,7 @@ def single_case_texts(spark, sf):
 )
 def trigger_rules(spark, sf):
     rules = ((r"\bble(a|er)|zzz", "extraction"), (r"eaux|tres\b", "infrastructure"), ("sch.n", "development"))
-    return table(spark, sf, "documents").select("doc_id", text.trigger(F.col("text"), rules).alias("why"))
+    return documents(spark, sf).select("doc_id", text.trigger(F.col("text"), rules).alias("why"))
 
 
 @query(
@@ -94,7 +94,7 @@ def only_state_named(spark, sf):
        contains(strip_accents(lower(text)), 'hedre') OR contains(strip_accents(lower(text)), 'schu') AS blocked FROM documents""",
 )
 def news_allow_block(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", scalar.fold(F.col("text")).alias("t"))
+    d = documents(spark, sf).select("doc_id", scalar.fold(F.col("text")).alias("t"))
     return d.select(
         "doc_id", text.news_allowed(F.col("t"), ("Éaue", "thtion")).alias("allowed"), text.news_blocked(F.col("t"), ("hedre", "schu")).alias("blocked")
     )
@@ -141,7 +141,7 @@ def news_vocabulary(spark, sf):
               WHEN contains(t, 'thth') THEN 'redress' ELSE 'other' END AS topic FROM f""",
 )
 def document_topics(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", scalar.fold(F.col("text")).alias("t"))
+    d = documents(spark, sf).select("doc_id", scalar.fold(F.col("text")).alias("t"))
     rules = (("opposition", ("thth",)), ("trade", ("eaux",)), ("redress", ("thth",)))
     return d.select(
         "doc_id", text.significance(F.col("t"), ("tionth",)).alias("sig"),
@@ -236,7 +236,7 @@ def link_state_tally(spark, sf):
 
 @query("P17", "SELECT doc_id, regexp_matches(strip_accents(lower(text)), '(^|[^a-z])tion of([^a-z]|$)') AS found FROM documents")
 def bounded_words(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.word_in(scalar.fold(F.col("text")), "tion of").alias("found"))
+    return documents(spark, sf).select("doc_id", text.word_in(scalar.fold(F.col("text")), "tion of").alias("found"))
 
 
 @query("P18", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderkey % 50 <> 7 GROUP BY 1")

@@ -8,7 +8,7 @@ from ... import vocab
 from ...functions import scalar
 from ...operators import joins, service, spatial
 from .base import (
-    CITIES, Q_STATES, STATE_CODES, STATE_NAMES, lat, lng, pick, q_case, q_lat, q_lng, q_pick, query, quoted, table,
+    CITIES, Q_STATES, STATE_CODES, STATE_NAMES, documents, lat, lng, pick, q_case, q_lat, q_lng, q_pick, query, quoted, table,
 )
 
 lit = F.lit
@@ -79,7 +79,7 @@ _Q_PLACES = ", ".join(
 )
 def geo_tagged_documents(spark, sf):
     g = spark.createDataFrame(PLACES, "alias string, iso string, region string, priority int")
-    d = table(spark, sf, "documents").select("doc_id", scalar.fold(F.col("text")).alias("t"))
+    d = documents(spark, sf).select("doc_id", scalar.fold(F.col("text")).alias("t"))
     return joins.geo_tag(d, "doc_id", F.col("t"), g, longest=2).drop("t")
 
 

@@ -10,7 +10,7 @@ from ...operators import gate
 from ...sources import normalise, scan
 from .. import refresh
 from .base import (
-    CITIES, COARSE_KINDS, KIND_NAMES, Q_DEDUPED, Q_PLACED, Q_STATES, STATE_CODES, STATE_NAMES, lat, lng, pick, q_case,
+    CITIES, COARSE_KINDS, KIND_NAMES, Q_DEDUPED, Q_PLACED, Q_STATES, STATE_CODES, STATE_NAMES, documents, lat, lng, pick, q_case,
     q_impact, q_in, q_lat, q_lng, q_pick, q_snap, query, quoted, raw_records, table,
 )
 
@@ -61,7 +61,7 @@ _K3 = q_pick(["mass-grave", "discovery", "review", "holding"], "doc_id")
         CASE WHEN {_HIT} AND {_K3} IN ('mass-grave', 'discovery') THEN 'redress' ELSE 'watch' END AS posture FROM documents""",
 )
 def individual_case_labels(spark, sf):
-    d = table(spark, sf, "documents").select(
+    d = documents(spark, sf).select(
         "doc_id", pick(["mass-grave", "discovery", "review", "holding"], F.col("doc_id")).alias("kind"), lit("watch").alias("posture"),
         lit(None).cast("string").alias("name"), F.col("text").alias("desc"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ... import vocab
 from ...functions import geo, scalar
 from ...sources import sinks
-from .base import KIND_NAMES, lat, lng, pick, q_case, q_impact, q_lat, q_lng, q_pick, q_snap, query, table
+from .base import KIND_NAMES, documents, lat, lng, pick, q_case, q_impact, q_lat, q_lng, q_pick, q_snap, query, table
 
 lit = F.lit
 
@@ -107,7 +107,7 @@ def feed_dates(spark, sf):
 
 @query("FN6", "SELECT doc_id, md5(strip_accents(lower(text))) AS folded FROM documents")
 def fold_texts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(scalar.fold(F.col("text"))).alias("folded"))
+    return documents(spark, sf).select("doc_id", F.md5(scalar.fold(F.col("text"))).alias("folded"))
 
 
 @query(

@@ -45,3 +45,15 @@ def reliable_checkpoint(spark: SparkSession, df):
     path = shared_dir(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, *keys: str):
+    """Spread an input that arrives in fewer splits than there are cores.
+
+    A gzipped document or a one-row-group file is read by one task, and the text work
+    behind it would stay there.  Inputs with enough splits, the normal case on a
+    cluster, are returned unchanged.  Keys make the spread repeatable.  Call it on
+    scans, before any shuffle: it only looks at the number of input splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
