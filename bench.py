@@ -108,7 +108,7 @@ def main() -> None:
         if only and name not in only:
             continue
         best = None
-        for _ in range(2):
+        for _ in range(3):
             t = time.time()
             fn(spark, sf).write.format("noop").mode("overwrite").save()
             took = time.time() - t

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_table
 from .. import vocab
 from ..functions import scalar
 from .ordering import top_groups
@@ -100,7 +101,7 @@ def layer_manifest(df: DataFrame, threshold: int = 40_000) -> DataFrame:
 
 def family_counts(df: DataFrame, families=vocab.NOTICE_FAMILIES) -> DataFrame:
     """Kept rows per phrase, families with none included; ``df`` has ``phrase``."""
-    roster = df.sparkSession.createDataFrame([(i, p) for i, (p, _) in enumerate(families)], "phrase_ord int, phrase string")
+    roster = small_table(df.sparkSession, [(i, p) for i, (p, _) in enumerate(families)], "phrase_ord int, phrase string")
     counts = df.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
     return roster.join(counts, "phrase", "left").select("phrase_ord", "phrase", F.coalesce("n", F.lit(0)).alias("n"))
 

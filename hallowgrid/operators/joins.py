@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_table
 from .. import vocab
 from ..functions import scalar
 
@@ -88,7 +89,7 @@ def gazetteer_from(spark, regions: dict, countries: dict, names: dict | None = N
                 order += 1
                 shown = (names or vocab.REGION_NAMES).get(a, " ".join(w.capitalize() for w in a.split()))
                 rows.append((scalar.fold_literal(a.strip()), iso, shown if is_region else None, order))
-    return spark.createDataFrame(rows, "alias string, iso string, region string, priority int")
+    return small_table(spark, rows, "alias string, iso string, region string, priority int")
 
 
 def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: int = 4) -> DataFrame:

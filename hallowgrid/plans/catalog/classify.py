@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...session import small_table
 from ... import vocab
 from ...functions import scalar, text
 from .base import STATE_NAMES, documents, pick, q_in, q_pick, query, quoted, table
@@ -230,7 +231,7 @@ def link_state_tally(spark, sf):
 
     d = link_probes(spark, sf)
     state = text.link_state(F.col("url"), F.col("code"), F.col("final_url"), F.col("error"))
-    roster = spark.createDataFrame([(s,) for s in vocab.LINK_STATES], "state string")
+    roster = small_table(spark, [(s,) for s in vocab.LINK_STATES], "state string")
     return state_tally(d.select(state.alias("state")), roster)
 
 

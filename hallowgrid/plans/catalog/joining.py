@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...session import small_table
 from ... import vocab
 from ...functions import scalar
 from ...operators import joins, service, spatial
@@ -78,7 +79,7 @@ _Q_PLACES = ", ".join(
         SELECT d.doc_id, h.iso, g.region FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g ON g.priority = h.p""",
 )
 def geo_tagged_documents(spark, sf):
-    g = spark.createDataFrame(PLACES, "alias string, iso string, region string, priority int")
+    g = small_table(spark, PLACES, "alias string, iso string, region string, priority int")
     d = documents(spark, sf).select("doc_id", scalar.fold(F.col("text")).alias("t"))
     return joins.geo_tag(d, "doc_id", F.col("t"), g, longest=2).drop("t")
 
@@ -171,8 +172,8 @@ def zero_yield_triage(spark, sf):
     i = F.col("c_nationkey")
     known = table(spark, sf, "customer").filter((i % 3 == 0) & (i < len(names)))
     counts = known.groupBy(F.element_at(F.array(*[lit(n) for n in names]), i + 1).alias("source")).agg(F.count(lit(1)).alias("n"))
-    roster = spark.createDataFrame(list(vocab.ROSTER), "source string, reason string")
-    return joins.zero_triage(roster, counts, spark.createDataFrame([("courtlistener",)], "source string"))
+    roster = small_table(spark, list(vocab.ROSTER), "source string, reason string")
+    return joins.zero_triage(roster, counts, small_table(spark, [("courtlistener",)], "source string"))
 
 
 # --- units --------------------------------------------------------------------------------
@@ -256,7 +257,7 @@ def guides_before_resources(spark, sf):
 )
 def intentions(spark, sf):
     items = table(spark, sf, "part").select(F.col("p_type").alias("lens"), F.col("p_name").alias("name"))
-    dim = spark.createDataFrame([("PROMO", "holders"), ("SMALL", "home"), ("LARGE", "home"), ("NONE", "nobody")], "lens string, intention string")
+    dim = small_table(spark, [("PROMO", "holders"), ("SMALL", "home"), ("LARGE", "home"), ("NONE", "nobody")], "lens string, intention string")
     return service.regroup_by_intention(items, dim)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import grid
-from ...session import shared_dir
+from ...session import shared_dir, small_table
 from ...sources import scan, sinks
 from .. import refresh
 from .base import Q_PLACED, lat, lng, q_lat, q_lng, query, table
@@ -112,7 +112,8 @@ def publish_guards(spark, sf):
         sinks.publish_records(d.filter("source <> '5-LOW'"), path),
         sinks.guarded_publish(d.filter("source = '5-LOW'"), path, min_ratio=0.6),
     ]
-    log = spark.createDataFrame(
+    log = small_table(
+        spark,
         [(i, r.written, r.reason, r.n_rows, r.prior_rows) for i, r in enumerate(runs, 1)], "step int, written boolean, reason string, n_rows bigint, prior_rows bigint"
     )
     # What readers see now, from the published files and from their metadata row.
@@ -159,7 +160,7 @@ def stale_tiles(spark, sf):
     f = normalise.facilities(facility_elements(spark, sf))
     cells = f.groupBy("ftype", "cell").agg(F.count(lit(1)).alias("n"))
     name = F.concat(lit("layer_"), F.col("ftype"), lit("_"), F.col("cell"), lit(".json.gz"))
-    extra = spark.createDataFrame([("layer_museum.json.gz",), ("layer_mortuary.json.gz",), ("notes_0_0.txt",)], "name string")
+    extra = small_table(spark, [("layer_museum.json.gz",), ("layer_mortuary.json.gz",), ("notes_0_0.txt",)], "name string")
     listing = sinks.tile_listing(cells.select(name.alias("name")).unionByName(extra), F.col("name"))
     mode = F.when(F.col("ftype") == "mortuary", "single").otherwise("tiled")
     return sinks.stale_tiles(listing, cells.filter("n % 3 <> 0").withColumn("mode", mode))

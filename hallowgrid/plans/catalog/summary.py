@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from ...session import small_table
 from ...operators import aggregates, dedup, merge, ordering
 from .base import Q_DEDUPED, Q_PLACED, query, quoted, table
 from .records import Q_FACILITIES, Q_NEWS, facility_elements, news_rows, normalise, placed_records
@@ -87,7 +88,7 @@ _Q_ROSTER = "(VALUES " + ", ".join(f"({quoted(s)})" for s in _ROSTER) + ") AS r(
 )
 def source_yields(spark, sf):
     d = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("source"))
-    y = aggregates.source_yields(d, spark.createDataFrame([(s,) for s in _ROSTER], "source string"))
+    y = aggregates.source_yields(d, small_table(spark, [(s,) for s in _ROSTER], "source string"))
     # the totals table has exactly one row
     return y.withColumn("one", lit(1)).join(aggregates.yield_totals(y).withColumn("one", lit(1)), "one").drop("one")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import small_table
 from .. import vocab
 from ..operators import dedup, gate, grid, joins, merge, ordering, spatial
 from ..schema import NEWS, Config, conform
@@ -75,10 +76,10 @@ def refresh_plan(spark: SparkSession, state: DataFrame, rotation: int, cfg: Conf
 
 
 def link_report(probes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    states = probes.sparkSession.createDataFrame([(s,) for s in vocab.LINK_STATES], "state string")
+    states = small_table(probes.sparkSession, [(s,) for s in vocab.LINK_STATES], "state string")
     return sinks.link_status(probes, states)
 
 
 def triage(spark: SparkSession, yields: DataFrame, keys_set: DataFrame | None = None) -> DataFrame:
-    roster = spark.createDataFrame(list(vocab.ROSTER), "source string, reason string")
+    roster = small_table(spark, list(vocab.ROSTER), "source string, reason string")
     return joins.zero_triage(roster, yields, keys_set)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,6 +50,20 @@ def reliable_checkpoint(spark: SparkSession, df):
     return spark.read.parquet(path)
 
 
+def small_table(spark: SparkSession, rows, ddl: str):
+    """A constant table as a local relation.
+
+    Its size is known to the optimizer, so joins to it are broadcast below the usual
+    threshold; a table built from Python rows counts as unboundedly large.
+    """
+    fields = StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = pa.Table.from_arrays(
+        [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.fieldNames()
+    )
+    return spark.createDataFrame(arrow, schema=fields)
+
+
 def spread(df, *keys: str):
     """Spread an input that arrives in fewer splits than there are cores.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import union_in_order
 from ..schema import RECORD, conform
-from ..session import shared_dir
+from ..session import shared_dir, small_table
 
 
 class Registry:
@@ -29,7 +29,7 @@ class Registry:
 
     def roster(self, spark: SparkSession) -> DataFrame:
         rows = [(n, i) for i, n in enumerate(self._sources)]
-        return spark.createDataFrame(rows, "source string, source_ord int")
+        return small_table(spark, rows, "source string, source_ord int")
 
     def plan(self, spark: SparkSession) -> DataFrame:
         """All sources as one lazy union."""
@@ -53,4 +53,4 @@ class Registry:
             except Exception as e:  # noqa: BLE001 - isolation is the point
                 status.append((name, i, False, str(e).split("\n")[0][:300]))
         records = spark.read.schema(RECORD).parquet(*staged) if staged else spark.createDataFrame([], RECORD)
-        return records, spark.createDataFrame(status, "source string, source_ord int, ok boolean, error string")
+        return records, small_table(spark, status, "source string, source_ord int, ok boolean, error string")
