@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import grid
+from ...schema import Config
 from ...session import shared_dir, small_table
 from ...sources import scan, sinks
 from .. import refresh
@@ -128,13 +129,15 @@ def publish_guards(spark, sf):
 @query(
     "K4, G4, SC10, D8, W2",
     f"""WITH {Q_FACILITIES}, r AS (SELECT *, row_number() OVER (PARTITION BY ftype, CAST(floor(lat * 10000 + 0.5) AS BIGINT), CAST(floor(lng * 10000 + 0.5) AS BIGINT) ORDER BY row_ord) AS rn FROM fac)
-        SELECT row_ord, ftype, lat, lng, cell FROM r WHERE rn = 1 AND lat BETWEEN -35.5 AND 28 AND (lng >= 151 OR lng <= -120)""",
+        SELECT row_ord, ftype, lat, lng FROM r WHERE rn = 1 AND lat BETWEEN -35.5 AND 28 AND (lng >= 151 OR lng <= -120)""",
 )
 def layer_viewport(spark, sf):
     path = shared_dir(spark)
-    done = refresh.facility_layer(facility_elements(spark, sf), path)
+    # The stand-in points are spread evenly over the world; 40-degree cells give files
+    # of a sensible size for them.
+    done = refresh.facility_layer(facility_elements(spark, sf), path, Config(layer_tile_deg=40))
     layer = scan.read_layer(spark, done.path)
-    return grid.viewport(layer, -35.5, 151.0, 28.0, -120.0).select("row_ord", "ftype", "lat", "lng", "cell")
+    return grid.viewport(layer, -35.5, 151.0, 28.0, -120.0, deg=40).select("row_ord", "ftype", "lat", "lng")
 
 
 @query(
