@@ -82,7 +82,7 @@ BENCH = {
     **{
         n: QUERIES[n]
         for n in (
-            "record_pipeline", "dedup_records", "placement_gate", "points_in_units", "geo_tagged_documents", "fold_texts", "clean_pages",
+            "placed_and_deduplicated", "dedup_records", "placement_gate", "points_in_units", "geo_tagged_documents", "fold_texts", "clean_pages",
             "scan_html_rows", "normalise_facilities", "normalise_notices", "adaptive_tiles", "dedup_facilities", "preserved_sources",
             "returned_rollup", "record_breakdown", "stream_daily_counts",
         )

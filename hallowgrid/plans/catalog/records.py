@@ -26,7 +26,7 @@ def placed_records(spark, sf):
     "GA1, W1, A2, FN14, FN20, P18",
     f"WITH {Q_DEDUPED} SELECT kind, geo, impact, count(*) AS n FROM deduped GROUP BY kind, geo, impact",
 )
-def record_pipeline(spark, sf):
+def placed_and_deduplicated(spark, sf):
     done = refresh.finish(placed_records(spark, sf))
     return done.groupBy("kind", "geo", "impact").agg(F.count(lit(1)).alias("n"))
 

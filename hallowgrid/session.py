@@ -37,12 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only where ``spark.checkpoint.dir`` is unset on a local master (tests) does this
     fall back to a folder on this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    key = "spark.checkpoint.dir"
+    base = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="hallowgrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.conf.set(key, base)
     return f"{base.rstrip('/')}/hallowgrid/{uuid.uuid4().hex}"
 
 
