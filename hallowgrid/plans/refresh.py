@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import small_table
+from ..session import reliable_checkpoint, small_table
 from .. import vocab
 from ..operators import dedup, gate, grid, joins, merge, ordering, spatial
 from ..schema import NEWS, Config, conform
@@ -24,18 +24,31 @@ def finish(records: DataFrame, cfg: Config = Config(), extra_keys=(), metrics: s
     return dedup.dedup_records(d, extra_keys)
 
 
-def daily(records: DataFrame, prior: DataFrame | None, cfg: Config = Config(), carry: Column | None = None) -> DataFrame:
-    """Fresh records plus carried and preserved prior rows, ready to publish."""
-    if prior is None:
-        return finish(records, cfg)
+def daily(
+    records: DataFrame,
+    prior: DataFrame | None,
+    cfg: Config = Config(),
+    carry: Column | None = None,
+    stage: bool = False,
+) -> DataFrame:
+    """Fresh records plus carried and preserved prior rows, ready to publish.
+
+    The fresh records are read twice, once only for the names of their sources.  With
+    ``stage`` they are written to the shared folder first, so that neither reading nor
+    a lost executor runs the source plans again.
+    """
     keep = F.col("source").isin(*vocab.FEDERATION_SOURCES) if carry is None else carry
-    fresh = finish(merge.carry_forward(records, prior, keep), cfg)
+    fresh = finish(records if prior is None else merge.carry_forward(records, prior, keep), cfg)
+    if prior is None:
+        return fresh
+    if stage:
+        fresh = reliable_checkpoint(records.sparkSession, fresh)
     return merge.preserve_silent(fresh, prior, cfg.preserve_min_rows)
 
 
 def publish_daily(spark: SparkSession, records: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
     prior = sinks.read_published(spark, path)
-    return sinks.publish_records(daily(records, prior, cfg), path, cfg.records_thin)
+    return sinks.publish_records(daily(records, prior, cfg, stage=True), path, cfg.records_thin)
 
 
 def federation_merge(spark: SparkSession, parts: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
