@@ -198,17 +198,21 @@ def fresh_enough(date_iso: Column, today: Column, days: int) -> Column:
 
 
 # --- P12, P13: facilities -------------------------------------------------------------
+def _lowered(tags: Column) -> Column:
+    return F.transform(
+        F.map_entries(tags), lambda e: F.struct(F.lower(e["key"]).alias("key"), F.lower(e["value"]).alias("value"))
+    )
+
+
 def lower_tags(tags: Column) -> Column:
     """Tags with lower-case keys and values; of keys that differ only by case the last counts."""
 
     def last_of_each(keyed: Column) -> Column:
+        distinct = F.size(F.array_distinct(F.transform(keyed, lambda x: x["key"]))) == F.size(keyed)
         last = F.filter(keyed, lambda x, i: F.size(F.filter(keyed, lambda y, j: (j > i) & (y["key"] == x["key"]))) == 0)
-        return F.map_from_entries(last)
+        return F.map_from_entries(F.when(distinct, keyed).otherwise(last))
 
-    lowered = F.transform(
-        F.map_entries(tags), lambda e: F.struct(F.lower(e["key"]).alias("key"), F.lower(e["value"]).alias("value"))
-    )
-    return let(lowered, last_of_each)
+    return let(_lowered(tags), last_of_each)
 
 
 def facility_type(tags: Column, rules=vocab.FACILITY_RULES) -> Column:
@@ -228,12 +232,12 @@ def refused_site(tags: Column, ftype: Column | None = None) -> Column:
     burial = F.lit(True) if ftype is None else F.coalesce(ftype.isin(*vocab.BURIAL_TYPES), F.lit(True))
 
     def bad(e: Column) -> Column:
-        k, v = F.lower(e["key"]), F.lower(e["value"])
+        k, v = e["key"], e["value"]
         lifecycle = reduce(lambda a, b: a | b, [k.startswith(p) for p in vocab.LIFECYCLE])
         arch = k.isin(*vocab.ARCH_KEYS) & F.coalesce(v.isin(*vocab.ARCH_VALUES), F.lit(False))
         return lifecycle | arch | (burial & (k == "historic")) | (k == "archaeological_site")
 
-    return F.coalesce(F.exists(F.map_entries(tags), bad), F.lit(False))
+    return F.coalesce(F.exists(_lowered(tags), bad), F.lit(False))
 
 
 # --- P14-P16, P19 -----------------------------------------------------------------------
