@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding
+from . import bpe, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,43 @@ def op1_sharding(spark, sf):
 @query
 def op2_bpe(spark, sf):
     return back(bpe.token_digests(records(spark, sf), vocabulary()))
+
+
+@query
+def op4_quality_rules(spark, sf):
+    return back(quality_rules.rate_records(records(spark, sf)))
+
+
+def _rules_sql() -> str:
+    """The same thresholds in DuckDB SQL, written from the rule table."""
+
+    def ok(r: quality_rules.Rule) -> str:
+        of = quality_rules.RATIOS[r.measure]
+        v = f"({of[0]}::DOUBLE / nullif({of[1]}, 0)::DOUBLE)"
+        both = [f"{v} >= {r.low}::DOUBLE"] * (r.low is not None) + [f"{v} <= {r.high}::DOUBLE"] * (r.high is not None)
+        return f"(coalesce({' AND '.join(both)}, true) OR n_words < {r.from_words})"
+
+    stops = ", ".join(f"'{w}'" for w in sorted({w for ws in quality_rules.STOP_WORDS.values() for w in ws}))
+    word = r"[^\x20\x09-\x0D]"
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '{word}+') AS ws,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls FROM d),
+    g AS (SELECT rid, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] || ' ' || ws[i+3] || ' ' || ws[i+4] AS run
+          FROM w, unnest(range(1, len(ws) - 3)) u(i)),
+    twice AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, run) > 1),
+    covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY rid),
+    m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+                 len(ls) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_shouts,
+                 len(list_filter(ws, lambda x: lower(rtrim(x, '.,;:!?')) IN ({stops}))) AS n_stop_words,
+                 len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i-1])) AS n_stutters
+          FROM w LEFT JOIN covered USING (rid)),
+    f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND {" AND ".join(map(ok, quality_rules.RULES))} AS kept
+    FROM f"""
+
+
+ORACLES["op4_quality_rules"] = _rules_sql()
