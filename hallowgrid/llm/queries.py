@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, sharding
+from . import bpe, near_dup, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,8 @@ def _rules_sql() -> str:
 
 
 ORACLES["op4_quality_rules"] = _rules_sql()
+
+
+@query
+def op8_simhash_near_dedup(spark, sf):
+    return back(near_dup.near_copies(records(spark, sf)))
