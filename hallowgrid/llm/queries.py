@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, quality_rules, sharding
+from . import bpe, decontaminate, near_dup, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,31 @@ ORACLES["op4_quality_rules"] = _rules_sql()
 @query
 def op8_simhash_near_dedup(spark, sf):
     return back(near_dup.near_copies(records(spark, sf)))
+
+
+@query
+def op9_decontamination(spark, sf):
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("row_ord"), F.col("text").alias("desc"))
+    return back(decontaminate.contaminated_records(records(spark, sf), items))
+
+
+ORACLES["op9_decontamination"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+               FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+               FROM benchmark),
+    w AS (SELECT DISTINCT item_id, least(len(ws), 10) AS wide,
+                 array_to_string(list_slice(ws, i, i + least(len(ws), 10) - 1), ' ') AS run
+          FROM b, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) u(i) WHERE len(ws) > 0),
+    g AS (SELECT rid, i, wide, array_to_string(list_slice(ws, i, i + wide - 1), ' ') AS run
+          FROM d, (SELECT DISTINCT wide FROM w) k, unnest(range(1, len(ws) - wide + 2)) u(i)),
+    h AS (SELECT rid, i, g.wide, item_id FROM g JOIN w ON g.wide = w.wide AND g.run = w.run),
+    p AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM h, unnest(range(wide)) r(k) GROUP BY rid),
+    t AS (SELECT rid, count(DISTINCT item_id) AS n_items,
+                 sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+          FROM h GROUP BY rid)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
