@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, quality_rules, sharding
+from . import bpe, decontaminate, near_dup, pii, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ ORACLES["op9_decontamination"] = r"""
     SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
            coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
+
+
+@query
+def op10_pii(spark, sf):
+    return back(pii.personal_data(records(spark, sf)).withColumn("spans", pii.joined(F.col("spans"))))
