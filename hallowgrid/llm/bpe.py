@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memo import Remembered
+
 #: Fixed values of the public byte-level format: its word pattern, and the bytes that stand for themselves.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Letters and numbers that the public library's Unicode tables do not know yet; it takes them for symbols.
@@ -40,25 +42,6 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Remembered(dict):
-    """Packed ids by word, in two generations of ``most`` words each: bounded, and frequent words stay."""
-
-    def __init__(self, find, most: int):
-        super().__init__()
-        self.find, self.most, self.older = find, most, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = b"".join(i.to_bytes(4, "little") for i in self.find(word))
-        if len(word) <= 64:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file's text."""
 
@@ -78,7 +61,7 @@ class Codec:
         self.cut = regex.compile("|".join(map(regex.escape, marks))) if marks else None
         self.newer = regex.compile(f"[{NEWER}]")
         self.words, self.older_words = regex.compile(WORDS), regex.compile(OLDER_WORDS)
-        self.seen = Remembered(self.merge, remember)
+        self.seen = Remembered(lambda w: b"".join(i.to_bytes(4, "little") for i in self.merge(w)), remember)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word.

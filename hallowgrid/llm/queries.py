@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_rules, sharding
+from . import bpe, decontaminate, near_dup, pii, quality_rules, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,9 @@ ORACLES["op9_decontamination"] = r"""
 @query
 def op10_pii(spark, sf):
     return back(pii.personal_data(records(spark, sf)).withColumn("spans", pii.joined(F.col("spans"))))
+
+
+@query
+def op3_toxicity(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("row_ord"), "toxic")
+    return back(toxicity.score_toxicity(records(spark, sf), labels))
