@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_rules, sharding, toxicity
+from . import bpe, decontaminate, near_dup, pii, quality_rules, secret_scan, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,13 @@ def op10_pii(spark, sf):
 def op3_toxicity(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("row_ord"), "toxic")
     return back(toxicity.score_toxicity(records(spark, sf), labels))
+
+
+@query
+def op7_secret_scan(spark, sf):
+    d = secret_scan.find_secrets(records(spark, sf))
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS
+    ]
+    base, spans = (pii.joined(F.col(c)) for c in ("base", "spans"))
+    return back(d.select("row_ord", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans")))
