@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_rules, secret_scan, sharding, toxicity
+from . import bpe, class_lm, decontaminate, near_dup, pii, quality_rules, secret_scan, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ def op7_secret_scan(spark, sf):
     ]
     base, spans = (pii.joined(F.col(c)) for c in ("base", "spans"))
     return back(d.select("row_ord", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans")))
+
+
+@query
+def op6_lm_scoring(spark, sf):
+    return back(class_lm.score_texts(records(spark, sf)))
