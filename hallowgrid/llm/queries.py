@@ -134,9 +134,11 @@ def op3_toxicity(spark, sf):
 @query
 def op7_secret_scan(spark, sf):
     d = secret_scan.find_secrets(records(spark, sf))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS
-    ]
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in secret_scan.KINDS]
     base, spans = (pii.joined(F.col(c)) for c in ("base", "spans"))
     return back(d.select("row_ord", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans")))
 
