@@ -166,8 +166,8 @@ def personal_data(
     numbers are the seeds.  The words around them form lexical patterns; ``rounds`` of scoring the graph of patterns
     and identifier-like words over all records promote further words, whose occurrences are added as ``context``.
 
-    Returns ``row_ord, n_email, n_ip, n_card, n_phone, base_sha256, spans array<struct<kind,start,end>>``; places are
-    code points, the end exclusive, ordered by start, then kind as listed.  ``base_sha256`` digests the seeds alone.
+    Returns ``row_ord, dhash, n_email, n_ip, n_card, n_phone, base_sha256, spans array<struct<kind,start,end>>``; places
+    are code points, the end exclusive, ordered by start, then kind as listed; ``dhash`` is ``xxhash64`` of the text.  ``base_sha256`` digests the seeds alone.
 
     Null and empty texts have no spans; null keys are carried; repeated rows get equal results and count once in the
     graph; an empty table gives no rows; other columns are ignored.  Every count is over all records.
@@ -193,7 +193,8 @@ def personal_data(
         return F.transform(spans, lambda s: F.struct(F.get(names, s["k"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     every = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
-    return d.select("row_ord", *[f"n_{k}" for k in KINDS], F.sha2(joined(named(F.col("base"))), 256).alias("base_sha256"), named(every).alias("spans"))
+    digest = F.sha2(joined(named(F.col("base"))), 256)
+    return d.select("row_ord", "dhash", *[f"n_{k}" for k in KINDS], digest.alias("base_sha256"), named(every).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

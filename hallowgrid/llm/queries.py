@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, class_lm, decontaminate, near_dup, pii, quality_rules, secret_scan, sharding, toxicity
+from . import (
+    bpe,
+    class_lm,
+    decontaminate,
+    near_dup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,7 +133,7 @@ ORACLES["op9_decontamination"] = r"""
 
 @query
 def op10_pii(spark, sf):
-    return back(pii.personal_data(records(spark, sf)).withColumn("spans", pii.joined(F.col("spans"))))
+    return back(pii.personal_data(records(spark, sf)).drop("dhash").withColumn("spans", pii.joined(F.col("spans"))))
 
 
 @query
@@ -146,3 +157,10 @@ def op7_secret_scan(spark, sf):
 @query
 def op6_lm_scoring(spark, sf):
     return back(class_lm.score_texts(records(spark, sf)))
+
+
+@query
+def op5_quality_classifier(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("row_ord"), "quality")
+    news = records(spark, sf).select("row_ord", F.col("desc").alias("snippet"), "lang")
+    return back(quality_classifier.classify_news(news, labels))
