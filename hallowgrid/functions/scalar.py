@@ -314,10 +314,10 @@ def note(geo: Column) -> Column:
     return F.coalesce(lookup(vocab.GEO_NOTE, geo), F.lit(""))
 
 
-def described(width: int, *parts: Column | str) -> Column:
-    """Concatenate text parts and truncate."""
+def described(width: int | None, *parts: Column | str) -> Column:
+    """Concatenate text parts; with a ``width`` for display, cut to it."""
     cols = [F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts]
-    return F.left(F.concat(*cols), F.lit(width))
+    return F.left(F.concat(*cols), F.lit(width)) if width else F.concat(*cols)
 
 
 def street_address(number: Column, street: Column, city: Column) -> Column:

@@ -42,9 +42,10 @@ def last_wins(df: DataFrame, keys, order) -> DataFrame:
     return _pick(df, keys, order, F.max_by)
 
 
-def dedup_records(df: DataFrame, extra_keys=(), order=RECORD_ORDER) -> DataFrame:
-    """One record per 3-decimal point and first 40 characters of the name."""
-    name = F.left(F.lower(scalar.strip(F.coalesce("name", F.lit("")))), F.lit(40))
+def dedup_records(df: DataFrame, extra_keys=(), order=RECORD_ORDER, name_chars: int | None = None) -> DataFrame:
+    """One record per 3-decimal point and name; ``name_chars`` compares so many leading characters only."""
+    name = F.lower(scalar.strip(F.coalesce("name", F.lit(""))))
+    name = F.left(name, F.lit(name_chars)) if name_chars else name
     keys = [scalar.decimal_key(F.col("lat"), 3), scalar.decimal_key(F.col("lng"), 3), name]
     return first_wins(df, keys + list(extra_keys), order)
 

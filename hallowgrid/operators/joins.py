@@ -92,15 +92,18 @@ def gazetteer_from(spark, regions: dict, countries: dict, names: dict | None = N
     return small_table(spark, rows, "alias string, iso string, region string, priority int")
 
 
-def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: int = 4) -> DataFrame:
+def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: int | None = None) -> DataFrame:
     """Add ``iso`` and ``region`` of the highest-ranked place named in a folded text.
 
     ``gazetteer`` has ``alias, iso, region, priority``; aliases are folded and match
     between characters other than a-z; they start with a letter and may end with one
     punctuation mark.  The texts' word runs are joined to the aliases by equality, so
     there is no text x alias loop, and the text itself is not carried along.
-    ``longest`` is the number of words of the longest alias.
+    ``longest`` is the number of words of the longest alias; it is read from the table (one number) unless given.
     """
+    if longest is None:
+        words = F.size(F.regexp_extract_all("alias", F.lit("[a-z]+"), F.lit(0)))
+        longest = gazetteer.agg(F.max(words)).first()[0] or 1
     key = [key] if isinstance(key, str) else list(key)
     grams = df.select(*key, F.explode(word_grams(folded, longest)).alias("alias"))
     hits = grams.join(gazetteer.select("alias", "iso", "region", "priority"), "alias")

@@ -16,9 +16,20 @@ def union_in_order(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stamped)
 
 
+#: Carried rows rank behind all fresh ones, whatever place their source had.
+CARRIED = 1_000_000
+
+
+def behind(prior: DataFrame) -> DataFrame:
+    """Prior rows with their place in the roster moved behind all fresh rows; their own order stays."""
+    if "source_ord" not in prior.columns:
+        return prior
+    return prior.withColumn("source_ord", (F.pmod(F.coalesce("source_ord", F.lit(0)), F.lit(CARRIED)) + CARRIED).cast("int"))
+
+
 def carry_forward(fresh: DataFrame, prior: DataFrame, keep: Column) -> DataFrame:
-    """Fresh rows plus the prior rows that ``keep`` selects."""
-    return fresh.unionByName(prior.filter(F.coalesce(keep, F.lit(False))), allowMissingColumns=True)
+    """Fresh rows plus the prior rows that ``keep`` selects; a deduplication picks fresh rows first."""
+    return fresh.unionByName(behind(prior.filter(F.coalesce(keep, F.lit(False)))), allowMissingColumns=True)
 
 
 def preserve_silent(fresh: DataFrame, prior: DataFrame, min_rows: int = 10, by: str = "source") -> DataFrame:
@@ -29,6 +40,7 @@ def preserve_silent(fresh: DataFrame, prior: DataFrame, min_rows: int = 10, by:
 def merge_parts(parts: DataFrame, prior: DataFrame, federation) -> DataFrame:
     """Shard parts plus prior rows of other sources; with no parts at all the prior
     federation rows stay.  Decided inside the plan, without counting first."""
+    prior = behind(prior)
     fed = F.coalesce(F.col("source").isin(*federation), F.lit(False))
     kept_fed = prior.filter(fed & ~parts.limit(1).exists())
     return parts.unionByName(kept_fed, allowMissingColumns=True).unionByName(
@@ -41,6 +53,11 @@ def union_states(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).distinct()
 
 
+def shard_of(ord_col: Column, n: int) -> Column:
+    """Shard of a row in a deterministic n-way split by its order column."""
+    return F.pmod(ord_col, F.lit(n))
+
+
 def shard(df: DataFrame, ord_col: Column, k: int, n: int) -> DataFrame:
-    """Deterministic n-way split of a table by its order column."""
-    return df.filter(F.pmod(ord_col, F.lit(n)) == k)
+    """One shard of that split."""
+    return df.filter(shard_of(ord_col, n) == k)

@@ -157,7 +157,7 @@ Q_PLACED = f"""{Q_RAW}, placed AS (
               THEN 'coarsened' ELSE geo_level END AS geo,
          {q_impact("kind", "cnt")} AS impact
   FROM raw)"""
-Q_KEY3 = "CAST(floor(lat * 1000 + 0.5) AS BIGINT), CAST(floor(lng * 1000 + 0.5) AS BIGINT), left(lower(trim(name)), 40)"
+Q_KEY3 = "CAST(floor(lat * 1000 + 0.5) AS BIGINT), CAST(floor(lng * 1000 + 0.5) AS BIGINT), lower(trim(name))"
 Q_DEDUPED = f"""{Q_PLACED}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY {Q_KEY3} ORDER BY row_ord) AS rn FROM placed WHERE lat IS NOT NULL AND lng IS NOT NULL),
   deduped AS (SELECT * FROM ranked WHERE rn = 1)"""

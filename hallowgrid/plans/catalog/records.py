@@ -169,7 +169,7 @@ _PERMIT = ["Issued", "Surrendered", "", "Current"]
 
 @query(
     "N3, FN1, FN3, FN4, FN12, P14",
-    f"""SELECT p_partkey AS row_ord, left('AHIP ' || p_partkey || ' — ' || p_name || ' mine', 150) AS name, 'extraction' AS "trigger",
+    f"""SELECT p_partkey AS row_ord, 'AHIP ' || p_partkey || ' — ' || p_name || ' mine' AS name, 'extraction' AS "trigger",
           CASE WHEN p_partkey % 4 = 2 THEN 'Issued' ELSE {q_pick(_PERMIT, "p_partkey")} END AS status, p_brand AS actor, '2021-03-04' AS date, '2023-11-14' AS deadline,
           round({q_lat("p_partkey")} + 1, 4) AS lat, round({q_lng("p_partkey")} + 1, 4) AS lng, 'area' AS geo, 3 AS impact FROM part WHERE p_partkey % 4 <> 1""",
 )
@@ -292,32 +292,32 @@ def _features(spark, sf):
     return d.drop("g")
 
 
-def _portal_sql(source: str, per: int) -> str:
+def _portal_sql(source: str) -> str:
     t = q_pick(_TITLES, "s_suppkey")
     return f"""SELECT {quoted(source)} AS source, CASE WHEN c_custkey % 3 > 0 THEN c_name ELSE {t} END AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'excavation' ELSE 'removed-ground' END AS kind,
           'harm' AS posture, 'http://page/' || s_suppkey AS url, {q_snap(q_lat("c_custkey"))} AS lat, {q_snap(q_lng("c_custkey"))} AS lng, 'coarsened' AS geo,
           'From “' || {t} || '”. ' || {quoted(vocab.GEO_NOTE["coarsened"])} AS "desc"
-        FROM supplier JOIN customer ON c_custkey % 100 = s_suppkey WHERE s_suppkey % 4 < 2 AND c_custkey // 100 < {per}"""
+        FROM supplier JOIN customer ON c_custkey % 100 = s_suppkey WHERE s_suppkey % 4 < 2"""
 
 
-def _portal(spark, sf, source, ods, per):
-    out = normalise.portal_records(_datasets(spark, sf, ods), _features(spark, sf), source, per=per)
+def _portal(spark, sf, source, ods):
+    out = normalise.portal_records(_datasets(spark, sf, ods), _features(spark, sf), source)
     return out.select("source", "name", "kind", "posture", "url", "lat", "lng", "geo", "desc")
 
 
-@query("N7, N10, P1, P2, P15, SC2, W6", _portal_sql("ckan_remains", 8))
+@query("N7, N10, P1, P2, P15, SC2, W6", _portal_sql("ckan_portals"))
 def normalise_ckan(spark, sf):
-    return _portal(spark, sf, "ckan_remains", False, 8)
+    return _portal(spark, sf, "ckan_portals", False)
 
 
-@query("N8, N10", _portal_sql("ods_remains", 400))
+@query("N8, N10", _portal_sql("ods_portals"))
 def normalise_ods(spark, sf):
-    return _portal(spark, sf, "ods_remains", True, 400)
+    return _portal(spark, sf, "ods_portals", True)
 
 
-@query("N9, N10", _portal_sql("geonode_remains", 400))
+@query("N9, N10", _portal_sql("geonode_portals"))
 def normalise_geonode(spark, sf):
-    return _portal(spark, sf, "geonode_remains", True, None)
+    return _portal(spark, sf, "geonode_portals", True)
 
 
 # --- N11-N13 ----------------------------------------------------------------------------------
@@ -360,7 +360,7 @@ def projects(spark, sf):
           'From the projects feed (' || CASE WHEN precise THEN 'feed' ELSE 'unknown source' END || '). ' || d AS "desc" FROM p WHERE kind <> ''""",
 )
 def normalise_project_texts(spark, sf):
-    out = normalise.projects_naming_remains(projects(spark, sf))
+    out = normalise.projects_naming_graves(projects(spark, sf))
     return out.select("row_ord", "name", "kind", "posture", "impact", "lat", "lng", "geo", "desc")
 
 

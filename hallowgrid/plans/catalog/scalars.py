@@ -273,7 +273,7 @@ def slim_records(spark, sf):
         F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.col("o_orderpriority")).alias("status"),
         F.repeat(F.concat("o_orderpriority", lit(" ")), lit(40)).alias("desc"),
     )
-    return sinks.slim(d)
+    return sinks.slim(d, desc_chars=200)
 
 
 @query(

@@ -82,7 +82,7 @@ def scan_csv_overflow(spark, sf):
     short = F.concat_ws(",", F.col("p_partkey").cast("string"), F.concat(lit('"'), F.col("p_name"), lit('"')))
     full = F.concat_ws(",", short, "p_brand", "p_type", F.col("p_size").cast("string"))
     d = table(spark, sf, "part").select(F.when(F.col("p_partkey") % 3 == 0, short).otherwise(full).alias("line"))
-    return scan.csv_lines(d, F.col("line"), ["id", "name"], extra=8).select("id", "name", "_overflow")
+    return scan.csv_lines(d, F.col("line"), ["id", "name"]).select("id", "name", "_overflow")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -14,6 +15,48 @@ from .classify import Q_LINK, link_probes
 lit = F.lit
 
 
+@query(
+    "W1",
+    """SELECT min(o_orderkey) AS row_ord, o_custkey % 50 AS place, o_orderkey % 3 AS variant FROM orders GROUP BY 2, 3""",
+)
+def dedup_long_names(spark, sf):
+    """Names that differ from the fiftieth character on stay apart."""
+    place, variant = F.col("o_custkey") % 50, F.col("o_orderkey") % 3
+    d = table(spark, sf, "orders").select(
+        F.concat(lit("Notice of Inventory Completion for the County Museum of Natural History "), variant.cast("string")).alias("name"),
+        (lit(10.0) + place / 10).alias("lat"), lit(20.0).alias("lng"), F.col("o_orderkey").alias("row_ord"), place.alias("place"), variant.alias("variant"),
+    )
+    return dedup.dedup_records(d, order=("row_ord",)).select("row_ord", "place", "variant")
+
+
+@query("J3", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'GB' WHEN 1 THEN 'TZ' END AS iso FROM orders")
+def long_aliases(spark, sf):
+    """Place names of up to seven words are found whole."""
+    from ...operators import joins
+
+    names = {"GB": ["united kingdom of great britain and ireland"], "TZ": ["the united republic of tanzania"]}
+    texts = F.element_at(F.array(*[lit(f"graves in {t}, a report") for t in (*[v[0] for v in names.values()], "the united kingdom of nowhere", "no place")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    d = table(spark, sf, "orders").select("o_orderkey", texts.alias("folded"))
+    return joins.geo_tag(d, "o_orderkey", F.col("folded"), joins.gazetteer_from(spark, {}, names)).select("o_orderkey", "iso")
+
+
+@query("N7, T5", "SELECT o_orderkey % 3 AS dataset, count(*) AS n, max(o_orderkey // 3) AS last FROM orders GROUP BY 1")
+def large_datasets(spark, sf):
+    """Every feature of a dataset becomes a record, however many it has."""
+    k = F.col("o_orderkey")
+    features = table(spark, sf, "orders").select(
+        F.concat(lit("http://r/"), F.pmod(k, lit(3)).cast("string")).alias("resource"), (k / 3).cast("int").alias("feature_pos"),
+        lit(10.0).alias("lat"), lit(20.0).alias("lng"), F.create_map(lit("name"), F.concat(lit("grave "), k.cast("string"))).alias("props"),
+    )
+    datasets = small_table(
+        spark, [(f"Cemetery graves {i}", "burial ground register", f"http://page/{i}", "X", f"http://r/{i}", None) for i in range(3)],
+        "title string, notes string, page string, country string, geojson string, resources array<struct<format:string,url:string>>",
+    )
+    d = normalise.portal_records(datasets, features, "ckan_portals")
+    n = F.regexp_extract("name", "([0-9]+)", 1).cast("bigint")
+    return d.groupBy(F.substring("url", -1, 1).cast("bigint").alias("dataset")).agg(F.count(lit(1)).alias("n"), F.max(F.floor(n / 3)).alias("last"))
+
+
 # --- W1-W7 ------------------------------------------------------------------------------
 @query("W1", f"WITH {Q_DEDUPED} SELECT row_ord, name, lat, lng FROM deduped")
 def dedup_records(spark, sf):
@@ -89,8 +132,8 @@ _Q_ROSTER = "(VALUES " + ", ".join(f"({quoted(s)})" for s in _ROSTER) + ") AS r(
 def source_yields(spark, sf):
     d = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("source"))
     y = aggregates.source_yields(d, small_table(spark, [(s,) for s in _ROSTER], "source string"))
-    # the totals table has exactly one row
-    return y.withColumn("one", lit(1)).join(aggregates.yield_totals(y).withColumn("one", lit(1)), "one").drop("one")
+    whole = Window.partitionBy(lit(0))  # one row per listed source
+    return y.withColumns({"total": F.sum("n").over(whole), "active": F.count_if(F.col("n") > 0).over(whole), "listed": F.count(lit(1)).over(whole)})
 
 
 @query(
@@ -161,27 +204,18 @@ def returned_rollup(spark, sf):
 # --- T1, T2 -----------------------------------------------------------------------------
 @query(
     "T1, T4",
-    f"WITH {Q_PLACED}, s AS (SELECT row_number() OVER (ORDER BY impact DESC, row_ord) AS pos, row_ord, impact FROM placed) SELECT * FROM s WHERE pos <= 500",
+    f"WITH {Q_PLACED}, s AS (SELECT row_number() OVER (ORDER BY impact DESC, row_ord) AS pos, row_ord, impact FROM placed) SELECT * FROM s",
 )
 def records_by_impact(spark, sf):
-    top = ordering.capped(ordering.by_impact(placed_records(spark, sf)), 500)
-    return _numbered(top, F.desc("impact"), "row_ord").select("pos", "row_ord", "impact")
-
-
-def _numbered(top, *order):
-    """Positions of a top-k result (k rows, so one task is right)."""
-    from pyspark.sql import Window
-
-    return top.withColumn("pos", F.row_number().over(Window.partitionBy(lit(0)).orderBy(*order)))
+    return ordering.numbered(placed_records(spark, sf), ordering.impact_order()).select("pos", "row_ord", "impact")
 
 
 @query(
     "T2",
-    f"""WITH {Q_NEWS}, s AS (SELECT row_number() OVER (ORDER BY date DESC NULLS LAST, sig DESC, row_ord) AS pos, row_ord, date, sig FROM news) SELECT * FROM s WHERE pos <= 300""",
+    f"""WITH {Q_NEWS}, s AS (SELECT row_number() OVER (ORDER BY date DESC NULLS LAST, sig DESC, row_ord) AS pos, row_ord, date, sig FROM news) SELECT * FROM s""",
 )
 def newest_news(spark, sf):
-    top = ordering.newest_first(news_rows(spark, sf)).limit(300)
-    return _numbered(top, F.col("date").desc_nulls_last(), F.desc("sig"), "row_ord").select("pos", "row_ord", "date", "sig")
+    return ordering.numbered(news_rows(spark, sf), ordering.newest_order()).select("pos", "row_ord", "date", "sig")
 
 
 # --- U1-U6 ------------------------------------------------------------------------------
@@ -214,6 +248,22 @@ def carried_sources(spark, sf):
     return merge.carry_forward(fresh, prior, F.col("source").isin("2-HIGH", "5-LOW")).groupBy("source").agg(F.count(lit(1)).alias("n"))
 
 
+@query(
+    "U2, W1",
+    """SELECT o_custkey AS place, CASE WHEN bool_or(o_orderkey % 4 > 0) THEN 'fresh' ELSE 'carried' END AS run,
+              CASE WHEN bool_or(o_orderkey % 4 > 0) THEN min(CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey END) ELSE min(o_orderkey) END AS row_ord FROM orders GROUP BY 1""",
+)
+def fresh_before_carried(spark, sf):
+    """A fresh row wins over a carried one of the same place, though its source stands later in the roster."""
+    k = F.col("o_orderkey")
+    d = table(spark, sf, "orders").select(
+        lit("a").alias("name"), (F.col("o_custkey") / 1000).alias("lat"), lit(1.0).alias("lng"), k.alias("row_ord"), F.col("o_custkey").alias("place"),
+        F.when(k % 4 > 0, "fresh").otherwise("carried").alias("run"), F.when(k % 4 > 0, 9).otherwise(0).alias("source_ord"),
+    )
+    both = merge.carry_forward(d.filter("run = 'fresh'"), d.filter("run = 'carried'"), lit(True))
+    return dedup.dedup_records(both).select("place", "run", "row_ord")
+
+
 @query(
     "U3, J9",
     """SELECT o_orderpriority AS source, count(*) AS n FROM orders WHERE (o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderdate < TIMESTAMP '1998-01-01')
@@ -240,19 +290,13 @@ def merged_parts(spark, sf):
     return run("parts", parts).unionByName(run("none", fresh.filter("source = 'nobody'")))
 
 
-@query("U5", "SELECT o_custkey AS tile_key, o_orderstatus AS state FROM orders WHERE o_orderkey % 3 < 2 GROUP BY ALL")
+@query("U5", "SELECT o_custkey AS tile_key, o_orderstatus AS state FROM orders GROUP BY ALL")
 def merged_states(spark, sf):
     d = table(spark, sf, "orders").select(F.col("o_custkey").alias("tile_key"), F.col("o_orderstatus").alias("state"), F.col("o_orderkey").alias("k"))
-    return merge.union_states([d.filter(f"k % 3 = {i}").drop("k") for i in (0, 1)])
+    return merge.union_states([d.filter(f"k % 3 = {i}").drop("k") for i in range(3)])
 
 
 @query("U6", "SELECT o_orderkey % 6 AS shard, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
 def sharded_orders(spark, sf):
-    o = table(spark, sf, "orders")
-    parts = [merge.shard(o, F.col("o_orderkey"), k, 6).agg(lit(k).cast("bigint").alias("shard"), F.count(lit(1)).alias("n"), F.sum("o_custkey").alias("keys")) for k in range(6)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
+    shard = merge.shard_of(F.col("o_orderkey"), 6).cast("bigint").alias("shard")
+    return table(spark, sf, "orders").groupBy(shard).agg(F.count(lit(1)).alias("n"), F.sum("o_custkey").alias("keys"))

@@ -70,8 +70,8 @@ def projects_on_grounds(projects: DataFrame, layer: DataFrame, cfg: Config = Con
 
 
 def news_wire(entries: DataFrame, gazetteer: DataFrame, cfg: Config = Config(), today: Column | None = None) -> DataFrame:
-    """Feed entries, at most ``per_query`` per query in feed order, to the ordered wire."""
-    if "query" in entries.columns:
+    """Feed entries to the ordered wire; with ``per_query`` at most so many per query, in feed order."""
+    if cfg.per_query and "query" in entries.columns:
         entries = dedup.first_n(entries, ["query"], ["row_ord"], cfg.per_query)
     items = normalise.news(entries, gazetteer, today=today, max_age_days=cfg.news_max_age_days)
     return ordering.newest_first(conform(dedup.dedup_news(items), NEWS))

@@ -81,8 +81,7 @@ class Config:
     grid_floor_deg: float = 0.3125
     done_max_age_days: int = 14
     news_max_age_days: int = 90
-    per_query: int = 20
-    features_per_resource: int = 600
+    per_query: int | None = None
     preserve_min_rows: int = 10
     records_thin: int = 4
     news_thin: int = 5

@@ -23,11 +23,11 @@ def _t(c: Column) -> Column:
     return F.coalesce(c.cast("string"), LIT(""))
 
 
-def _record(df: DataFrame, source: str, desc, impact: int | None = None, place_at="at", geo_level="geo_level", width=200):
+def _record(df: DataFrame, source: str, desc, impact: int | None = None, place_at="at", geo_level="geo_level"):
     """Common tail: gate, description, rating, shape.  ``desc(note)`` gives the parts."""
     placed = gate.place(df, F.col(f"{place_at}.lat"), F.col(f"{place_at}.lng"), F.col(geo_level))
     parts = desc(scalar.note(F.col("geo")))
-    out = placed.withColumns({"desc": scalar.described(width, *parts), "source": LIT(source)})
+    out = placed.withColumns({"desc": scalar.described(None, *parts), "source": LIT(source)})
     rated = out.withColumn("impact", LIT(impact)) if impact else gate.rate(out)
     nulls = {
         c: scalar.blank_to_null(F.col(c))
@@ -62,14 +62,14 @@ def notices(raw: DataFrame, gazetteer: DataFrame, since: Column | None = None, f
     kinds = vocab.KINDS
     out = located.filter(F.col("at").isNotNull()).withColumns(
         {
-            "name": F.left(title, LIT(150)),
+            "name": title,
             "kind": F.col("label"),
             "posture": scalar.lookup({k: v[1] for k, v in kinds.items()}, F.col("label")),
             "trigger": LIT("law"),
             "country": LIT("United States"),
             "count": scalar.stated_count(body),
-            "held_by": F.left("inst", LIT(120)),
-            "actor": F.left("inst", LIT(120)),
+            "held_by": F.col("inst"),
+            "actor": F.col("inst"),
             "status": LIT(vocab.TEXT["notice_status"]),
             "url": F.col("html_url"),
             "date": scalar.iso_date(F.col("publication_date")),
@@ -100,13 +100,13 @@ def reviews(raw: DataFrame, since: Column | None = None, topic: Column | None =
     agency = F.try_element_at("agencies", LIT(1))["name"]
     out = d.withColumns(
         {
-            "name": F.left("title", LIT(150)),
+            "name": F.col("title"),
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": text.trigger(F.col("body")),
             "country": LIT("United States"),
             "count": scalar.stated_count(F.col("body")),
-            "actor": F.left(_t(agency), LIT(120)),
+            "actor": _t(agency),
             "status": LIT(vocab.TEXT["review_status"]),
             "url": F.col("html_url"),
             "date": scalar.iso_date(F.col("publication_date")),
@@ -144,17 +144,17 @@ def permits(features: DataFrame) -> DataFrame:
         "Aboriginal Heritage Impact Permit"
     )
     has_purpose = F.col("purpose") != ""
-    name = F.when(has_purpose, F.concat(base, LIT(" — "), F.left("purpose", LIT(70)))).otherwise(base)
+    name = F.when(has_purpose, F.concat(base, LIT(" — "), F.col("purpose"))).otherwise(base)
     out = d.withColumns(
         {
-            "name": F.left(name, LIT(150)),
+            "name": name,
             "kind": LIT("harm-permit"),
             "posture": LIT("harm"),
             "trigger": F.when(has_purpose, text.trigger(F.col("purpose"))).otherwise("development"),
             "country": LIT("Australia"),
             "region": LIT("New South Wales"),
             "count": LIT(None).cast("int"),
-            "actor": F.left("holder", LIT(120)),
+            "actor": F.col("holder"),
             "status": F.coalesce(scalar.blank_to_null(F.col("status0")), LIT("Issued")),
             "url": LIT(vocab.TEXT["permit_url"]),
             "date": day("DateIssued", "IssueDate", "DATE_ISSUED"),
@@ -185,14 +185,14 @@ def filings(raw: DataFrame, gazetteer: DataFrame) -> DataFrame:
     title = scalar.strip(F.coalesce(scalar.first_column(cols, "Title", "Project Title", "ProjectTitle"), LIT("CEQA filing")))
     out = d.withColumns(
         {
-            "name": F.left(title, LIT(150)),
+            "name": title,
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": text.trigger(F.col("blob")),
             "country": LIT("United States"),
             "region": LIT("California"),
             "count": scalar.stated_count(F.col("blob")),
-            "actor": F.left(alias("Lead Agency", "LeadAgency", "Agency"), LIT(120)),
+            "actor": alias("Lead Agency", "LeadAgency", "Agency"),
             "status": LIT("In CEQA review"),
             "url": F.concat(LIT(vocab.TEXT["filing_url"]), sch),
             "date": scalar.iso_date(scalar.first_column(cols, "Received", "Date Received", "Posted", "Date")),
@@ -216,14 +216,14 @@ def planning(features: DataFrame) -> DataFrame:
     desc = scalar.strip(F.coalesce(alias("description", "proposal", "name"), LIT("Planning application")))
     out = d.withColumns(
         {
-            "name": F.left(desc, LIT(150)),
+            "name": desc,
             "kind": LIT("exhumation"),
             "posture": LIT("harm"),
             "trigger": text.trigger(F.col("blob")),
             "country": LIT("United Kingdom"),
             "region": scalar.strip(_t(alias("area_name", "authority", "council"))),
             "count": scalar.stated_count(F.col("blob")),
-            "actor": F.left(_t(alias("applicant", "agent")), LIT(120)),
+            "actor": _t(alias("applicant", "agent")),
             "status": F.coalesce(alias("app_state", "status"), LIT("Application lodged")),
             "url": F.coalesce(alias("link", "url"), LIT(vocab.TEXT["planning_url"])),
             "date": scalar.iso_date(alias("start_date", "date_received", "last_changed")),
@@ -253,7 +253,7 @@ def removed_grounds(elements: DataFrame, pairs=vocab.REMOVED_TAGS) -> DataFrame:
     name = F.coalesce(scalar.first_key(tags, "name", "old_name"), LIT("Unnamed burial ground"))
     out = d.withColumns(
         {
-            "name": F.left(name, LIT(150)),
+            "name": name,
             "kind": LIT("removed-ground"),
             "posture": LIT("harm"),
             "trigger": LIT("development"),
@@ -263,7 +263,7 @@ def removed_grounds(elements: DataFrame, pairs=vocab.REMOVED_TAGS) -> DataFrame:
             "geo_level": LIT("area"),
         }
     )
-    return _record(out, "osm_removed_burial_grounds", lambda n: (vocab.TEXT["removed_desc"], n), width=420)
+    return _record(out, "osm_removed_burial_grounds", lambda n: (vocab.TEXT["removed_desc"], n))
 
 
 # --- N7-N10: open-data portals ----------------------------------------------------------
@@ -288,12 +288,12 @@ def first_geojson(resources: Column) -> Column:
     return F.try_element_at(ok, LIT(1))["url"]
 
 
-def portal_records(datasets: DataFrame, features: DataFrame, source: str, metric: str | None = None, per: int | None = 400) -> DataFrame:
+def portal_records(datasets: DataFrame, features: DataFrame, source: str, metric: str | None = None, per: int | None = None) -> DataFrame:
     """Features of the wanted datasets as records.
 
     ``datasets``: title, notes, page, country, geojson, resources.  ``features``:
-    ``resource, feature_pos, lat, lng, props``.  A dataset contributes its first ``per``
-    features (None: all); the position is known, so this is a filter, not a ranking.
+    ``resource, feature_pos, lat, lng, props``.  A dataset contributes all features, or its
+    first ``per``; the position is known, so this is a filter, not a ranking.
     """
     link = F.coalesce(scalar.blank_to_null(F.col("geojson")), first_geojson(F.col("resources")))
     d = wanted_datasets(datasets, metric).withColumn("resource", link).filter(F.col("resource").isNotNull())
@@ -314,7 +314,7 @@ def feature_records(df: DataFrame, source: str) -> DataFrame:
     kind = text.dataset_kind(title, words)
     out = d.withColumns(
         {
-            "name": F.left(name, LIT(150)),
+            "name": name,
             "kind": kind,
             "posture": scalar.lookup({k: v[1] for k, v in vocab.KINDS.items()}, kind),
             "trigger": text.trigger(F.concat(words, LIT(" "), title)),
@@ -325,7 +325,7 @@ def feature_records(df: DataFrame, source: str) -> DataFrame:
             "geo_level": LIT("area"),
         }
     )
-    return _record(out, source, lambda n: ("From “", F.left(title, LIT(70)), "”. ", n))
+    return _record(out, source, lambda n: ("From “", title, "”. ", n))
 
 
 # --- N11: holdings grid --------------------------------------------------------------------
@@ -352,14 +352,14 @@ def holdings_grid(raw: DataFrame, grid: str = "Inventory", label: str = "invento
     pending = "pending consultation or notice" if grid == "Inventory" else "reported unclaimed"
     out = d.withColumns(
         {
-            "name": F.left(F.concat("inst", LIT(" — " + label)), LIT(150)),
+            "name": F.concat("inst", LIT(" — " + label)),
             "kind": LIT("holding"),
             "posture": LIT("watch"),
             "trigger": LIT("law"),
             "country": LIT("United States"),
             "count": F.coalesce(*counts) if counts else LIT(None).cast("int"),
-            "held_by": F.left("inst", LIT(120)),
-            "actor": F.left("inst", LIT(120)),
+            "held_by": F.col("inst"),
+            "actor": F.col("inst"),
             "status": LIT("Reported to National NAGPRA; " + pending),
             "url": LIT(vocab.TEXT["grid_url"] + grid),
             "date": LIT(None).cast("string"),
@@ -374,7 +374,7 @@ def holdings_grid(raw: DataFrame, grid: str = "Inventory", label: str = "invento
 # --- N12, N13: projects ----------------------------------------------------------------------
 def _project_columns() -> dict:
     return {
-        "name": F.left(F.coalesce(scalar.blank_to_null(F.col("name")), LIT("Untitled project")), LIT(150)),
+        "name": F.coalesce(scalar.blank_to_null(F.col("name")), LIT("Untitled project")),
         "posture": scalar.lookup({k: v[1] for k, v in vocab.KINDS.items()}, F.col("kind")),
         "country": LIT(None).cast("string"),
         "region": F.col("state"),
@@ -386,7 +386,7 @@ def _project_columns() -> dict:
     }
 
 
-def projects_naming_remains(
+def projects_naming_graves(
     projects: DataFrame,
     phrases=vocab.PROJECT_PHRASES,
     reject=vocab.PROJECT_REJECT,
@@ -408,7 +408,6 @@ def projects_naming_remains(
         out,
         "projects_crossfeed",
         lambda n: (scalar.strip(F.concat(LIT(f"From {feed} ("), F.col("from"), LIT("). "), F.col("body"))),),
-        width=600,
     )
 
 
@@ -422,7 +421,7 @@ def projects_near_grounds(near: DataFrame, feed: str = "the projects feed") -> D
     said = F.format_string(
         vocab.TEXT["near_desc"], F.rint("dist_m").cast("bigint"), ground, LIT(feed), F.col("from")
     )
-    return _record(out, "projects_on_burial_ground", lambda n: (said,), impact=2, width=600)
+    return _record(out, "projects_on_burial_ground", lambda n: (said,), impact=2)
 
 
 # --- N14-N16 ------------------------------------------------------------------------------------
@@ -438,7 +437,7 @@ def cases(raw: DataFrame, courts=vocab.COURTS, topic=None) -> DataFrame:
     at = joins.point_of(F.col("court_key"), courts)
     out = d.withColumns(
         {
-            "name": F.left(F.coalesce(scalar.blank_to_null(F.col("caseName")), LIT("Unnamed case")), LIT(150)),
+            "name": F.coalesce(scalar.blank_to_null(F.col("caseName")), LIT("Unnamed case")),
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": LIT("law"),
@@ -460,7 +459,7 @@ def cases(raw: DataFrame, courts=vocab.COURTS, topic=None) -> DataFrame:
         F.coalesce(F.concat(LIT(", docket "), docket), LIT("")),
         F.coalesce(F.concat(LIT(". "), scalar.strip_marks(tail)), LIT("")),
     )
-    return _record(out, "courtlistener", lambda n: parts, impact=2, width=600)
+    return _record(out, "courtlistener", lambda n: parts, impact=2)
 
 
 def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab.OBJECTOR_ORGS) -> DataFrame:
@@ -482,7 +481,7 @@ def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab
     label = F.btrim(scalar.cut_label(scalar.strip(F.col("org"))), LIT(" ,.;:-"))
     out = d.withColumns(
         {
-            "name": F.left(F.concat(LIT("Objection filed: "), label), LIT(150)),
+            "name": F.concat(LIT("Objection filed: "), label),
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": LIT("objection"),
@@ -497,7 +496,7 @@ def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab
         }
     )
     said = F.format_string(vocab.TEXT["comment_desc"], _t(F.col("term")), F.col("id"))
-    return _record(out, "tribal_comments", lambda n: (said,), impact=2, width=600)
+    return _record(out, "tribal_comments", lambda n: (said,), impact=2)
 
 
 def heritage_cases(rows: DataFrame, row: str = "row", metric: str | None = None) -> DataFrame:
@@ -520,7 +519,7 @@ def heritage_cases(rows: DataFrame, row: str = "row", metric: str | None = None)
     nid = scalar.variant_text(v, "nid", "id", "drupal_internal__nid")
     out = d.filter(~refused).withColumns(
         {
-            "name": F.left("title", LIT(150)),
+            "name": F.col("title"),
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": LIT("permit"),
@@ -535,7 +534,7 @@ def heritage_cases(rows: DataFrame, row: str = "row", metric: str | None = None)
             "geo_level": LIT("admin"),
         }
     )
-    return _record(out, "sahris", lambda n: (vocab.TEXT["sa_desc"],), width=600)
+    return _record(out, "sahris", lambda n: (vocab.TEXT["sa_desc"],))
 
 
 # --- N17: holdings from pages ---------------------------------------------------------------------
@@ -564,22 +563,22 @@ def holdings(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     d = d.filter(F.col("at").isNotNull()).withColumn("total", F.col("not_available") + F.col("made_available"))
     out = d.withColumns(
         {
-            "name": F.left("institution", LIT(150)),
+            "name": F.col("institution"),
             "kind": LIT("holding"),
             "posture": LIT("watch"),
             "trigger": LIT("law"),
             "country": LIT("United States"),
             "region": F.col("state"),
             "count": F.when(F.col("not_available") > 0, F.col("not_available")).otherwise(F.col("total")),
-            "held_by": F.left("institution", LIT(150)),
-            "actor": F.left("institution", LIT(150)),
+            "held_by": F.col("institution"),
+            "actor": F.col("institution"),
             "status": F.format_string("%d of %d made available for return", "made_available", "total"),
             "url": F.concat(LIT(vocab.TEXT["holding_url"]), scalar.slug(F.col("state"))),
             "geo_level": F.when(F.col("hit"), "exact").otherwise("admin"),
         }
     )
     said = F.format_string(vocab.TEXT["holding_desc"], F.col("total"), F.col("made_available"), F.col("not_available"))
-    return _record(out, "propublica_holdings", lambda n: (said,), width=600)
+    return _record(out, "propublica_holdings", lambda n: (said,))
 
 
 # --- N18, N19: linked data --------------------------------------------------------------------------
@@ -600,10 +599,10 @@ def graves(bindings: DataFrame, classes=vocab.GRAVE_CLASSES, metric: str | None
     d = dedup.first_wins(d.filter(~refused), ["qid"], [_class_ord(classes), "row_ord"])
     out = d.withColumns(
         {
-            "name": F.left("label", LIT(150)),
+            "name": F.col("label"),
             "posture": scalar.lookup({k: v[1] for k, v in vocab.KINDS.items()}, F.col("kind")),
             "trigger": LIT("unknown"),
-            "country": F.left(_t(F.col("country")), LIT(80)),
+            "country": _t(F.col("country")),
             "count": LIT(None).cast("int"),
             "url": F.concat(LIT("https://www.wikidata.org/wiki/"), F.col("qid")),
             "date": scalar.iso_date(F.col("date")),
@@ -611,7 +610,7 @@ def graves(bindings: DataFrame, classes=vocab.GRAVE_CLASSES, metric: str | None
         }
     )
     said = F.format_string(vocab.TEXT["grave_desc"], scalar.lookup({q: n for q, n, _ in classes}, F.col("class_qid")))
-    return _record(out, "wikidata_graves", lambda n: (said,), width=600)
+    return _record(out, "wikidata_graves", lambda n: (said,))
 
 
 def _class_ord(classes) -> Column:
@@ -625,13 +624,13 @@ def institutions(bindings: DataFrame, classes=vocab.INSTITUTION_CLASSES) -> Data
     status = F.concat_ws(", ", F.concat(LIT("opened "), opened), F.concat(LIT("closed "), closed))
     out = d.withColumns(
         {
-            "name": F.left("label", LIT(150)),
+            "name": F.col("label"),
             "kind": LIT("review"),
             "posture": LIT("watch"),
             "trigger": LIT("institution"),
-            "country": F.left(_t(F.col("country")), LIT(80)),
+            "country": _t(F.col("country")),
             "count": LIT(None).cast("int"),
-            "actor": F.left("label", LIT(150)),
+            "actor": F.col("label"),
             "status": status,
             "url": F.concat(LIT("https://www.wikidata.org/wiki/"), F.col("qid")),
             "date": F.coalesce(closed, opened),
@@ -639,7 +638,7 @@ def institutions(bindings: DataFrame, classes=vocab.INSTITUTION_CLASSES) -> Data
         }
     )
     said = F.format_string(vocab.TEXT["institution_desc"], _t(scalar.lookup(dict(classes), F.col("class_qid"))))
-    return _record(out, "institution_investigations", lambda n: (said,), impact=3, width=600)
+    return _record(out, "institution_investigations", lambda n: (said,), impact=3)
 
 
 # --- N20: facilities ------------------------------------------------------------------------------------
@@ -660,7 +659,7 @@ def facilities(elements: DataFrame, metric: str | None = None, deg: int = 10) ->
     out = d.filter(lat.isNotNull() & lng.isNotNull()).select(
         scalar.exact_round(lat, 5).alias("lat"),
         scalar.exact_round(lng, 5).alias("lng"),
-        F.left(tag("name", "official_name", "operator"), LIT(140)).alias("name"),
+        tag("name", "official_name", "operator").alias("name"),
         tag("website", "contact:website").alias("website"),
         scalar.blank_to_null(
             scalar.street_address(tag("addr:housenumber"), tag("addr:street"), tag("addr:city"))
@@ -708,7 +707,7 @@ def news_candidates(
         if c not in d.columns:
             d = d.withColumn(c, LIT(None).cast(t))
     d = d.filter(scalar.blank_to_null(F.col("link")).isNotNull())
-    cleaned = {"full_title": scalar.clean(F.col("title")), "snippet": F.left(scalar.clean(F.col("summary")), LIT(280))}
+    cleaned = {"full_title": scalar.clean(F.col("title")), "snippet": scalar.clean(F.col("summary"))}
     d = scalar.keep_where(d, cleaned, F.col("full_title") != "")
     folded = scalar.fold(F.concat("full_title", LIT(" "), "snippet"))
     wanted = ~text.news_blocked(F.col("folded"), block) & text.news_allowed(F.col("folded"), allow)
@@ -718,7 +717,7 @@ def news_candidates(
     d = scalar.keep_where(d, {"date": date}, fresh)
     return d.withColumns(
         {
-            "title": F.left("full_title", LIT(220)),
+            "title": F.col("full_title"),
             "sig": text.significance(F.col("folded")),
             "topic": F.coalesce("topic", text.topic(F.col("folded"))),
             "link_key": scalar.link_key(F.col("link")),

@@ -86,43 +86,44 @@ def read_geojson(spark: SparkSession, path: str, per: int | None = None) -> Data
 
 
 # --- SC3: CSV with overflowing rows --------------------------------------------------------
-def _padded(columns, extra: int) -> T.StructType:
-    names = list(columns) + [f"_o{i}" for i in range(1, extra + 1)] + ["_raw"]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _with_raw(columns) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*columns, "_raw")])
 
 
-def _fold_overflow(df: DataFrame, columns, extra: int, prefix: str = "") -> DataFrame:
-    overs = [F.col(f"{prefix}_o{i}") for i in range(1, extra + 1)]
-    joined = scalar.blank_to_null(F.concat_ws(" ", *overs))
-    # Beyond the padding the whole raw line is kept, so nothing is lost.
-    spilled = F.when(overs[-1].isNotNull() & F.col(f"{prefix}_raw").isNotNull(), F.col(f"{prefix}_raw"))
-    own = [c for c in df.columns if c not in ("csv",)] if prefix else []
-    return df.select(
-        *own,
-        *[F.col(f"{prefix}`{c}`" if prefix else f"`{c}`").alias(c) for c in columns],
-        F.coalesce(spilled, joined).alias("_overflow"),
+def _surplus(raw: Column, n: int) -> Column:
+    """Fields of a raw CSV line past the ``n``-th, joined by blanks; NULL without any.
+
+    The parser hands over the raw line of every row whose number of fields is not ``n``.
+    """
+    fields = F.regexp_extract_all(F.rtrim(raw, F.lit("\r\n")), F.lit(r'(?:^|,)("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
+    past = F.slice(fields, n + 1, F.greatest(F.size(fields) - n, F.lit(0)))
+    bare = F.transform(
+        past, lambda x: F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
     )
+    return scalar.blank_to_null(F.concat_ws(" ", F.filter(bare, lambda x: x != "")))
 
 
-def read_csv_overflow(spark: SparkSession, path: str, columns, extra: int = 32) -> DataFrame:
-    """CSV whose rows may have more fields than the header; the surplus is joined by
+def read_csv_overflow(spark: SparkSession, path: str, columns) -> DataFrame:
+    """CSV whose rows may have more fields than the header; the surplus, however long, is joined by
     blanks into ``_overflow``."""
     raw = (
-        spark.read.schema(_padded(columns, extra))
+        spark.read.schema(_with_raw(columns))
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
+        .option("enforceSchema", True)
         .option("columnNameOfCorruptRecord", "_raw")
         .csv(path)
     )
-    return _fold_overflow(raw, columns, extra)
+    return raw.select(*[F.col(f"`{c}`") for c in columns], _surplus(F.col("_raw"), len(columns)).alias("_overflow"))
 
 
-def csv_lines(df: DataFrame, line: Column, columns, extra: int = 32) -> DataFrame:
+def csv_lines(df: DataFrame, line: Column, columns) -> DataFrame:
     """The same for CSV lines in a text column."""
     opts = {"columnNameOfCorruptRecord": "_raw", "escape": '"'}
-    ddl = ", ".join(f"`{f.name}` STRING" for f in _padded(columns, extra))
-    return _fold_overflow(df.withColumn("csv", F.from_csv(line, ddl, opts)), columns, extra, "csv.")
+    ddl = ", ".join(f"`{f.name}` STRING" for f in _with_raw(columns))
+    d = df.withColumn("csv", F.from_csv(line, ddl, opts))
+    return d.select(*df.columns, *[F.col(f"csv.`{c}`").alias(c) for c in columns], _surplus(F.col("csv._raw"), len(columns)).alias("_overflow"))
 
 
 # --- SC4: feeds -----------------------------------------------------------------------------
@@ -284,7 +285,7 @@ def geonode_datasets(df: DataFrame, payload: Column, base: Column) -> DataFrame:
     layer = F.coalesce(g("$.alternate"), g("$.name"))
     root = F.rtrim(base, F.lit("/"))
     head = "/geoserver/wfs?service=WFS&version=2.0.0&request=GetFeature&typeNames="
-    tail = "&outputFormat=application%2Fjson&count=600&srsName=EPSG%3A4326"
+    tail = "&outputFormat=application%2Fjson&srsName=EPSG%3A4326"
     return d.filter(layer.isNotNull()).select(
         *df.columns,
         "dataset_pos",

@@ -36,7 +36,9 @@ def current_version(spark: SparkSession, path: str):
     try:
         commits = spark.read.schema(_COMMITS).json(f"{path}/_versions")
         row = commits.orderBy(F.desc("version")).first()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return None if row is None else (row["n_rows"], row["data"])
 
@@ -75,8 +77,8 @@ def guarded_publish(
 
 
 # --- FN24, K1: the record file -------------------------------------------------------------
-def slim(df: DataFrame) -> DataFrame:
-    """Publish form: empties to NULL, four decimals, day dates, short prose."""
+def slim(df: DataFrame, desc_chars: int | None = None) -> DataFrame:
+    """Publish form: empties to NULL, four decimals, day dates; prose in full, or cut to ``desc_chars`` for display."""
     out = {}
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -85,7 +87,7 @@ def slim(df: DataFrame) -> DataFrame:
         elif f.name in ("date", "deadline"):
             out[f.name] = scalar.blank_to_null(F.left(c, F.lit(10)))
         elif f.name == "desc":
-            out[f.name] = scalar.blank_to_null(F.left(c, F.lit(200)))
+            out[f.name] = scalar.blank_to_null(F.left(c, F.lit(desc_chars)) if desc_chars else c)
         elif f.dataType.typeName() == "string":
             out[f.name] = scalar.blank_to_null(c)
     return df.withColumns(out)

@@ -25,7 +25,7 @@ def test_record_document(spark, tmp_path, doc):
 def test_csv_overflow(spark, tmp_path):
     wide = ",".join(str(i) for i in range(12))
     (tmp_path / "f.csv").write_text(f'SCH Number,Title\n1,"a, b"\n2,x,y,z\n3\n4,{wide}\n')
-    got = {r["SCH Number"]: (r.Title, r._overflow) for r in scan.read_csv_overflow(spark, str(tmp_path / "f.csv"), ["SCH Number", "Title"], extra=4).collect()}
+    got = {r["SCH Number"]: (r.Title, r._overflow) for r in scan.read_csv_overflow(spark, str(tmp_path / "f.csv"), ["SCH Number", "Title"]).collect()}
     assert got["1"] == ("a, b", None) and got["2"] == ("x", "y z") and got["3"] == (None, None)
     assert got["4"][0] == "0" and "11" in got["4"][1]
 
