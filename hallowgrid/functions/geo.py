@@ -108,6 +108,18 @@ def wkt_point(c: Column) -> Column:
     return F.when((F.abs(lat) <= 90) & (F.abs(lng) <= 180), point(lat, lng))
 
 
+def _unwrapping(lngs: Column) -> Column:
+    """+1: western vertices move east by 360, -1: eastern ones west, 0: none."""
+    east = F.size(F.filter(lngs, lambda x: x > 0))
+    west = F.size(F.filter(lngs, lambda x: x < 0))
+    spans = (F.array_max(lngs) - F.array_min(lngs) > 180) & (east > 0) & (west > 0)
+    return F.when(~spans, F.lit(0)).when(east >= west, F.lit(1)).otherwise(F.lit(-1))
+
+
+def _moved(v: Column, side: Column) -> Column:
+    return point(v["lat"], F.when(v["lng"] * side < 0, v["lng"] + side * 360).otherwise(v["lng"]))
+
+
 def unwrap_antimeridian(vertices: Column) -> Column:
     """Shift the minority side of 180 degrees across, for units that span it.
 
@@ -115,17 +127,11 @@ def unwrap_antimeridian(vertices: Column) -> Column:
     antimeridian when its vertices are more than 180 degrees of longitude apart and
     lie on both sides of zero; the side with fewer vertices moves by 360.
     """
-    lngs = F.transform(vertices, lambda v: v["lng"])
-    east = F.size(F.filter(lngs, lambda x: x > 0))
-    west = F.size(F.filter(lngs, lambda x: x < 0))
-    spans = (F.array_max(lngs) - F.array_min(lngs) > 180) & (east > 0) & (west > 0)
-    # +1: western vertices move east, -1: eastern vertices move west, 0: none.
-    side = F.when(~spans, F.lit(0)).when(east >= west, F.lit(1)).otherwise(F.lit(-1))
+    side = _unwrapping(F.transform(vertices, lambda v: v["lng"]))
+    return let(side, lambda s: F.transform(vertices, lambda v: _moved(v, s)))
 
-    def shifted(s: Column) -> Column:
-        return F.transform(
-            vertices,
-            lambda v: point(v["lat"], F.when(v["lng"] * s < 0, v["lng"] + s * 360).otherwise(v["lng"])),
-        )
 
-    return let(side, shifted)
+def unwrap_rings(rings: Column) -> Column:
+    """The same for all rings of a unit together, parts and holes alike."""
+    side = _unwrapping(F.transform(F.flatten(rings), lambda v: v["lng"]))
+    return let(side, lambda s: F.transform(rings, lambda ring: F.transform(ring, lambda v: _moved(v, s))))

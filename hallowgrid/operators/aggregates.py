@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window, Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small_table
@@ -82,6 +82,15 @@ def busiest_countries(df: DataFrame, n: int = 12) -> DataFrame:
     return top_groups(df.filter(scalar.blank_to_null(F.col("iso")).isNotNull()), "iso", n)
 
 
+def countries_with_totals(df: DataFrame, n: int = 12) -> DataFrame:
+    """The busiest countries next to the totals of :func:`news_summary`; the items are read and shuffled once."""
+    counts = df.groupBy(scalar.blank_to_null(F.col("iso")).alias("iso")).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(F.lit(0))  # one row per country
+    tagged = F.sum(F.when(F.col("iso").isNotNull(), F.col("n"))).over(whole)
+    out = counts.withColumns({"items": F.sum("n").over(whole), "tagged": F.coalesce(tagged, F.lit(0)), "countries": F.count("iso").over(whole)})
+    return out.filter(F.col("iso").isNotNull()).orderBy(F.desc("n"), "iso").limit(n)
+
+
 def state_tally(df: DataFrame, roster: DataFrame) -> DataFrame:
     counts = df.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
     return with_roster(counts, roster, "state")

@@ -215,6 +215,46 @@ def child_units(spark, sf):
     return spatial.child_units(_square_units(spark, sf).withColumnRenamed("unit", "parent"), kids).select("parent", "child")
 
 
+_AX = f"(CASE WHEN s_suppkey % 2 = 0 THEN 179.5 ELSE -179.5 END)"
+_FAR = f"(({q_lng('c_custkey')} + 180) / 30 + CASE WHEN {q_lng('c_custkey')} < 0 THEN 174 ELSE -186 END)"
+_GAP = f"abs((({_FAR} - ux + 540) % 360) - 180)"
+
+
+def _far_lng(k):
+    """Points within six degrees of the antimeridian, on both sides."""
+    return (lng(k) + 180) / 30 + F.when(lng(k) < 0, 174.0).otherwise(-186.0)
+
+
+def _two_parts(y, x, half):
+    """A square about a point near the antimeridian, cut into a part on each side of it; written between -180 and 180."""
+    def ring(a, b):
+        wrap = lambda v: F.when(v > 180, v - 360).when(v < -180, v + 360).otherwise(v)
+        return F.array(*[F.struct((y + dy).alias("lat"), wrap(x + dx).alias("lng")) for dy, dx in ((-half, a), (half, a), (half, b), (-half, b))])
+
+    return ring
+
+
+@query(
+    "D1, D2, D3",
+    f"""WITH u AS (SELECT s_name AS unit, floor({q_lat('s_suppkey')}) + 0.5 AS uy, {_AX} AS ux FROM supplier)
+       SELECT 'points' AS what, unit, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM u JOIN customer ON abs({q_lat("c_custkey")} - uy) < 4.25 AND {_GAP} < 2.25 GROUP BY unit
+       UNION ALL SELECT 'children', unit, count(*), CAST(sum(c_custkey) AS BIGINT) FROM u JOIN customer ON abs({q_lat("c_custkey")} - uy) < 4.25 AND {_GAP} < 2.25 GROUP BY unit""",
+)
+def units_across_180(spark, sf):
+    """Units and child units over the antimeridian, in two parts and in one ring."""
+    c, s = F.col("c_custkey"), F.col("s_suppkey")
+    y, x = F.floor(lat(s)) + 0.5, F.when(s % 2 == 0, 179.5).otherwise(-179.5)
+    ring = _two_parts(y, x, 4.25)
+    parts = F.when(x > 0, F.array(ring(lit(-2.25), lit(0.5)), ring(lit(0.5), lit(2.25)))).otherwise(F.array(ring(lit(-2.25), lit(2.25))))
+    units = table(spark, sf, "supplier").select(F.col("s_name").alias("unit"), parts.alias("rings"))
+    spots = table(spark, sf, "customer").select("c_custkey", lat(c).alias("lat"), _far_lng(c).alias("lng"))
+    inside = spatial.within_units(spots, units).select(lit("points").alias("what"), "unit", "c_custkey")
+    wrap = lambda v: F.when(v > 180, v - 360).when(v < -180, v + 360).otherwise(v)
+    box = F.array(*[F.struct((F.col("lat") + a).alias("lat"), wrap(F.col("lng") + b).alias("lng")) for a, b in ((-0.1, -0.1), (0.1, -0.1), (0.1, 0.1), (-0.1, 0.1))])
+    kids = spatial.child_units(units, spots.select("c_custkey", F.array(box).alias("rings"))).select(lit("children").alias("what"), "unit", "c_custkey")
+    return inside.unionByName(kids).groupBy("what", "unit").agg(F.count(lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+
+
 @query(
     "D4",
     """WITH u AS (SELECT c_custkey, n_name, 'C' || n_regionkey || '/' || n_name || '/' || c_mktsegment AS path, 'C' || n_regionkey AS a2, 'C' || n_regionkey || '/' || n_name AS a1 FROM customer JOIN nation ON n_nationkey = c_nationkey),

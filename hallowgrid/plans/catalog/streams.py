@@ -12,9 +12,13 @@ from .base import pick, query, table
 lit = F.lit
 
 
-def _events(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return wire.file_stream(spark, sf, schema, name_filter="events.parquet").withColumn("event_ts", F.col("ts").cast("timestamp"))
+def _events(spark, sf, files: int = 4):
+    """The event table as a stream of several files, one per batch, oldest keys not first."""
+    folder = shared_dir(spark)
+    events = table(spark, sf, "events")
+    events.repartition(files, "event_id").write.parquet(folder)
+    landed = wire.file_stream(spark, folder, events.schema, files_per_batch=1)
+    return landed.withColumn("event_ts", F.col("ts").cast("timestamp"))
 
 
 _HEAD = ["Mass graves found", "Zombie graveyard", "Market news"]
@@ -28,7 +32,7 @@ def stream_distinct_links(spark, sf):
     e = F.col("event_id")
     entries = _events(spark, sf).select(
         lit("n").alias("name"), pick(_HEAD, e).alias("title"), F.concat(lit("https://n.example/"), F.col("user_id").cast("string"), lit("/?e="), e.cast("string")).alias("link"),
-        lit("").alias("summary"), F.when(e % 4 > 0, F.date_format("event_ts", "yyyy-MM-dd")).otherwise("").alias("published"), e.alias("row_ord"), "event_ts",
+        lit("").alias("summary"), F.when(e % 997 == 0, "2030-01-01").when(e % 4 > 0, F.date_format("event_ts", "yyyy-MM-dd")).otherwise("").alias("published"), e.alias("row_ord"), "event_ts",
     )
     items = wire.news_stream(entries.withColumnRenamed("event_ts", "arrived"), F.col("arrived"), horizon_days=90, today=lit("2024-02-01").cast("date"))
     target, checkpoint = wire.scratch(spark)
@@ -40,11 +44,13 @@ def stream_distinct_links(spark, sf):
 
 @query(
     "ST3, A3",
-    "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "SELECT CASE WHEN event_id % 997 = 0 THEN DATE '2030-01-01' ELSE CAST(ts AS DATE) END AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, sf):
     target, checkpoint = wire.scratch(spark)
-    wire.store_counts(wire.daily_counts(_events(spark, sf), "event_type"), target, checkpoint)
+    # a clock that runs ahead must not make later events late
+    ahead = F.when(F.col("event_id") % 997 == 0, lit("2030-01-01").cast("timestamp")).otherwise(F.col("event_ts"))
+    wire.store_counts(_events(spark, sf).withColumn("event_ts", ahead), target, checkpoint, "event_type")
     return wire.latest_counts(spark, target, "event_type")
 
 

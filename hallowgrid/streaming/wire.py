@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.merge import preserve_silent
 from ..session import shared_dir
@@ -21,21 +22,23 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
 
 
 def event_time(date: Column, ingest_ts: Column) -> Column:
-    """Event time of an item; undated items use their arrival, and keep a NULL date."""
-    return F.coalesce(F.try_to_date(date, "yyyy-MM-dd").cast("timestamp"), ingest_ts)
+    """Event time of an item: its date, but never after its arrival; undated items use their arrival."""
+    return F.least(F.coalesce(F.try_to_date(date, "yyyy-MM-dd").cast("timestamp"), ingest_ts), ingest_ts)
 
 
 # --- ST1 --------------------------------------------------------------------------------
-def distinct_links(items: DataFrame, ts: str = "event_ts", key: str = "link_key", horizon: str = "90 days") -> DataFrame:
-    """First arrival per link.  State is dropped once a link is older than the age cut,
-    so it grows with the links of that window and not with the stream."""
+def distinct_links(items: DataFrame, ts: str = "arrived_ts", key: str = "link_key", horizon: str = "90 days") -> DataFrame:
+    """First arrival per link.  The watermark follows arrival, which no date written in an
+    item can move, so a wrongly dated item never makes others late.  State is dropped once a
+    link arrived longer ago than the age cut, so it grows with the links of that window and
+    not with the stream."""
     return items.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
 
 
 def news_stream(entries: DataFrame, ingest_ts: Column, horizon_days: int = 90, **options) -> DataFrame:
     """Feed entries to distinct news candidates; geo-tag them per batch."""
     d = normalise.news_candidates(entries, max_age_days=horizon_days, **options)
-    d = d.withColumn("event_ts", event_time(F.col("date"), ingest_ts))
+    d = d.withColumns({"arrived_ts": ingest_ts, "event_ts": event_time(F.col("date"), ingest_ts)})
     return distinct_links(d, horizon=f"{horizon_days} days")
 
 
@@ -51,61 +54,79 @@ def append_available(items: DataFrame, target: str, checkpoint: str) -> None:
 
 
 # --- ST3 --------------------------------------------------------------------------------
-def daily_counts(items: DataFrame, *dims: str, ts: str = "event_ts", late: str = "90 days") -> DataFrame:
+def daily_counts(items: DataFrame, *dims: str, ts: str = "event_ts") -> DataFrame:
     """Items per day and dimension values."""
-    return (
-        items.withWatermark(ts, late)
-        .groupBy(F.window(ts, "1 day"), *dims)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date("window.start").alias("day"), *dims, "n")
-    )
+    return items.groupBy(F.to_date(ts).alias("day"), *dims).agg(F.count(F.lit(1)).alias("n"))
 
 
-def store_counts(counts: DataFrame, target: str, checkpoint: str) -> None:
-    """Keep the latest count of every (day, dims) group.
+def store_counts(items: DataFrame, target: str, checkpoint: str, *dims: str, ts: str = "event_ts") -> None:
+    """Add each batch's counts to a table of increments.
 
-    Update mode emits only the groups a batch changed; each batch is a folder of its
-    own, so a replayed batch overwrites itself.  ``latest_counts`` reads the newest row
-    per group.
+    No state and no watermark: an item counts on its day however late it arrives.  Each
+    batch is a folder of its own, so a replayed batch overwrites itself.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{target}/b={batch_id}")
+        daily_counts(batch, *dims, ts=ts).write.mode("overwrite").parquet(f"{target}/b={batch_id}")
 
-    run_available(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint)
+    run_available(items.writeStream.foreachBatch(put), checkpoint)
 
 
 def latest_counts(spark: SparkSession, target: str, *dims: str) -> DataFrame:
-    return (
-        spark.read.parquet(target)
-        .groupBy("day", *dims)
-        .agg(F.max_by("n", "batch").alias("n"))
-        .select("day", *dims, "n")
-    )
+    return spark.read.parquet(target).groupBy("day", *dims).agg(F.sum("n").alias("n"))
 
 
 # --- ST4 --------------------------------------------------------------------------------
-def refresh_sink(spark: SparkSession, path: str, min_rows: int = 4, preserve_min: int = 10):
-    """foreachBatch function: each batch is a refresh of the published records.
+_PUBLISHED = "upto long"
 
-    Sources silent in the batch keep their prior rows, and the publish guards decide.
-    An empty batch publishes nothing.
-    """
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        prior = sinks.read_published(spark, path)
-        merged = batch if prior is None else preserve_silent(batch, prior, preserve_min)
-        if not batch.limit(1).isEmpty():
-            sinks.guarded_publish(merged, path, min_rows=min_rows, name=f"refresh-{batch_id}")
+def _published_upto(spark: SparkSession, staging: str) -> int:
+    try:
+        return spark.read.schema(_PUBLISHED).json(f"{staging}/published").agg(F.max("upto")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
 
-    return put
 
+def stage_available(rows: DataFrame, staging: str, checkpoint: str) -> None:
+    """Append what has arrived to the staging table; a replayed batch overwrites itself."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{staging}/rows/b={batch_id}")
 
-def refresh_available(rows: DataFrame, path: str, checkpoint: str, **guards) -> None:
-    put = refresh_sink(rows.sparkSession, path, **guards)
     run_available(rows.writeStream.foreachBatch(put), checkpoint)
 
 
+def refresh_available(
+    rows: DataFrame, path: str, checkpoint: str, min_rows: int = 4, preserve_min: int = 10
+) -> sinks.Outcome | None:
+    """Refresh the published records with all that arrived since the last refresh.
+
+    Batches are only staged; the refresh is published once, when the run has ended, so the
+    guards and the silent sources are judged on the whole run and not batch by batch.  What
+    a crashed run staged is part of the next one.  Nothing new publishes nothing.
+    """
+    spark, staging = rows.sparkSession, f"{checkpoint.rstrip('/')}-staging"
+    stage_available(rows, staging, checkpoint)
+    done = _published_upto(spark, staging)
+    try:
+        staged = spark.read.parquet(f"{staging}/rows")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = staged.filter(F.col("b") > done).agg(F.max("b")).first()[0]
+    if last is None:
+        return None
+    fresh = staged.filter((F.col("b") > done) & (F.col("b") <= last)).drop("b")
+    prior = sinks.read_published(spark, path)
+    merged = fresh if prior is None else preserve_silent(fresh, prior, preserve_min)
+    out = sinks.guarded_publish(merged, path, min_rows=min_rows, name=f"refresh-{last}")
+    spark.createDataFrame([(int(last),)], _PUBLISHED).coalesce(1).write.mode("append").json(f"{staging}/published")
+    return out
+
+
 def scratch(spark: SparkSession) -> tuple[str, str]:
     """Fresh (target, checkpoint) folders under the shared location."""
     base = shared_dir(spark)

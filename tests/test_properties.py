@@ -146,9 +146,9 @@ def test_stream_gives_the_batch_answer(spark, files):
     for i in range(files):
         d.filter(F.col("link_key").cast("int") % files == i).coalesce(1).write.mode("append").parquet(f"{base}/in")
     s = wire.file_stream(spark, f"{base}/in", d.schema, files_per_batch=1)
-    wire.append_available(wire.distinct_links(s).select("link_key"), f"{base}/links", f"{base}/c1")
+    wire.append_available(wire.distinct_links(s, ts="event_ts").select("link_key"), f"{base}/links", f"{base}/c1")
     assert sorted(r.link_key for r in spark.read.parquet(f"{base}/links").collect()) == sorted(str(i) for i in range(40))
-    wire.store_counts(wire.daily_counts(s, "topic"), f"{base}/counts", f"{base}/c2")
+    wire.store_counts(s, f"{base}/counts", f"{base}/c2", "topic")
     got = {tuple(r) for r in wire.latest_counts(spark, f"{base}/counts", "topic").collect()}
     want = {tuple(r) for r in d.groupBy(F.to_date("event_ts").alias("day"), "topic").count().collect()}
     assert got == want
