@@ -138,22 +138,16 @@ def only_place(c: Column, names, longest: bool = False) -> Column:
     """The one listed name the text contains as a whole word; NULL if none or several.
 
     ``longest=True`` does not count a name inside a longer listed name ("Virginia" in
-    "West Virginia").
+    "West Virginia").  One pass of the matcher: a look-ahead at every word start sees
+    overlapping names, a consuming match only the longest.
     """
-    tests = []
-    for n in names:
-        pat = r"(?U)\b" + _quote(n) + r"\b"
-        if longest:
-            outer = [m for m in names if m != n and n in m]
-            for m in outer:
-                head, _, tail = m.partition(n)
-                if head:
-                    pat = "(?<!" + _quote(head) + ")" + pat
-                if tail:
-                    pat = pat + "(?!" + _quote(tail) + ")"
-        tests.append(F.when(c.rlike(pat), F.lit(n)))
-    hits = F.array_compact(F.array(*tests))
-    return F.when(F.size(hits) == 1, F.element_at(hits, 1))
+    names = list(names)
+    either = "|".join(_quote(n) for n in sorted(names, key=len, reverse=True))
+    pattern = rf"(?U)\b({either})\b" if longest else rf"(?U)\b(?=({either})\b)"
+    hits = F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)))
+    # A name that begins with another listed name stands for two at the same place.
+    double = [] if longest else [n for n in names if any(n.startswith(m) and not n[len(m)].isalnum() for m in names if len(m) < len(n))]
+    return let(hits, lambda h: F.when((F.size(h) == 1) & (~F.get(h, 0).isin(double) if double else F.lit(True)), F.get(h, 0)))
 
 
 # --- P6-P11: news ---------------------------------------------------------------------

@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import reliable_checkpoint
 
 _SUB = 16  # bins per cell side: a cell of 2 radii gives bins of radius / 8
+_LEVELS = 5  # times a crowded bin is split again, by _SPLIT each way
+_SPLIT = 4
+_CROWD = 32  # distinct points of a bin that are measured one by one
 
 
 def _row(lat: Column, cell: float) -> Column:
@@ -28,20 +32,78 @@ def _column(lng: Column, n: Column) -> Column:
 
 
 def _located(points: DataFrame, name: str, cell: float) -> DataFrame:
-    """Points with their cell (``row``, ``col``) and the small bin (``bi``, ``bj``) in it."""
+    """Distinct points with their cell (``row``, ``col``) and the finest bin (``fi``, ``fj``); the lowest name of each."""
+    fine = _SUB * _SPLIT**_LEVELS
     p = points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
     p = p.select("lat", "lng", F.col(name).alias("near_name"), _row(F.col("lat"), cell).alias("row"))
     p = p.withColumn("__n", _columns(F.col("row"), cell))
     n = F.col("__n")
-    return p.select(
+    p = p.select(
         "lat",
         "lng",
         "near_name",
         "row",
         F.pmod(_column(F.col("lng"), n), n).alias("col"),
-        F.floor(F.col("lat") / F.lit(cell / _SUB)).alias("bi"),
-        F.floor((F.col("lng") + 180.0) / (F.lit(360.0) / (n * _SUB))).alias("bj"),
+        F.floor(F.col("lat") / F.lit(cell / fine)).alias("fi"),
+        F.floor((F.col("lng") + 180.0) / (F.lit(360.0 / fine) / n.cast("double"))).alias("fj"),
     )
+    return p.groupBy("row", "col", "fi", "fj", "lat", "lng").agg(F.min("near_name").alias("near_name"))
+
+
+def _bin(level: int) -> list[Column]:
+    """Bin of a level, by integer division of the finest, so that bins nest exactly."""
+    k = float(_SPLIT ** (_LEVELS - level))
+    return [F.floor(F.col(c) / k).alias(b) for c, b in (("fi", "bi"), ("fj", "bj"))]
+
+
+def _boxes(spots: DataFrame, level: int) -> DataFrame:
+    """Bounding box and number of points of every bin of a level, with the bin it is part of (``pi``, ``pj``)."""
+    b = spots.select("row", "col", *_bin(level), "lat", "lng").groupBy("row", "col", "bi", "bj")
+    b = b.agg(
+        F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.min("lng").alias("lng0"), F.max("lng").alias("lng1"), F.count(F.lit(1)).alias("n")
+    )
+    return b.withColumns({"pi": F.floor(F.col("bi") / float(_SPLIT)), "pj": F.floor(F.col("bj") / float(_SPLIT))})
+
+
+def _reach(pairs: DataFrame) -> DataFrame:
+    """Least and most distance of a site to any point of a box: ``least_m``, ``most_m``."""
+    s, t = F.col("slat"), F.col("slng")
+    lat0, lat1 = F.col("lat0"), F.col("lat1")
+    gaps = pairs.withColumns(
+        {
+            "__west": geo.lng_gap(t, F.col("lng0")),
+            "__east": geo.lng_gap(t, F.col("lng1")),
+            "__c0": F.cos(F.radians((s + lat0) / 2.0)),
+            "__c1": F.cos(F.radians((s + lat1) / 2.0)),
+        }
+    )
+    west, east, c0, c1 = F.col("__west"), F.col("__east"), F.col("__c0"), F.col("__c1")
+    near_y = F.greatest(lat0 - s, s - lat1, F.lit(0.0)) * geo.METRES_PER_DEG
+    far_y = F.greatest(F.abs(lat0 - s), F.abs(lat1 - s)) * geo.METRES_PER_DEG
+    near_x = (
+        F.when((west <= 0) & (east >= 0), F.lit(0.0)).otherwise(F.least(F.abs(west), F.abs(east)))
+        * geo.METRES_PER_DEG
+        * F.least(c0, c1)
+    )
+    # The cosine peaks inside the span when the middle latitudes straddle the equator.
+    top_cos = F.when((s + lat0) * (s + lat1) <= 0, F.lit(1.0)).otherwise(F.greatest(c0, c1))
+    far_x = F.greatest(F.abs(west), F.abs(east)) * geo.METRES_PER_DEG * top_cos
+    slack = 1e-9
+    least = (F.sqrt(near_y * near_y + near_x * near_x) * (1 - slack)).alias("least_m")
+    most = (F.sqrt(far_y * far_y + far_x * far_x) * (1 + slack)).alias("most_m")
+    kept = [c for c in pairs.columns if c not in ("lat0", "lat1", "lng0", "lng1", "pi", "pj")]
+    return gaps.select(*kept, least, most)
+
+
+def _open(met: DataFrame, radius_m: float) -> DataFrame:
+    """Boxes that can still hold a site's nearest point: none nearer than ``bound`` is known to be full.
+
+    A site meets a bounded number of boxes, so their list is bounded too.
+    """
+    box = F.struct("least_m", "row", "col", "bi", "bj", "n")
+    near = met.filter(F.col("least_m") <= radius_m)
+    bounds = near.groupBy("slat", "slng").agg(F.least(F.min("most_m"), F.min("bound")).alias("bound"), F.collect_list(box).alias("boxes"))
+    return bounds.select("slat", "slng", "bound", F.inline(F.filter("boxes", lambda b: b["least_m"] <= F.col("bound")))).drop("least_m")
 
 
 def _reached_cells(sites: DataFrame, radius_m: float, cell: float) -> DataFrame:
@@ -74,65 +136,41 @@ def nearest_within(
     Ties in distance take the lowest name.  Works at every latitude and across the
     antimeridian.
 
-    Plan.  Points are first reduced to the bounding boxes of bins an eighth of the
-    radius wide, with map-side combining on four numbers.  A left location meets, by an
-    equi join on the cell, a bounded number of boxes however many points or left rows
-    share its surroundings; the nearest far corner among them bounds its distance, and
-    only boxes nearer than that bound stay open.  Points of open boxes are then
-    collapsed to distinct locations and measured.  Dense cells cost boxes x locations
-    and copies collapse, so no group ever produces all its pairs.
+    Plan.  Points collapse to distinct ones and then to the bounding boxes of bins an
+    eighth of the radius wide.  A left location meets, by an equi join on the cell, a
+    bounded number of boxes; the nearest far corner among them bounds its distance, and
+    only boxes nearer than that bound stay open.  Points of open boxes are measured if
+    the box holds few; a crowded box is split four by four, and the same is done with
+    its parts, up to five times.  So a location meets a bounded number of boxes and
+    points however many share its surroundings, and the work grows with the number of
+    locations and points.  Open boxes are written to the shared folder, which tells
+    whether any is crowded.
     """
+    spark = left.sparkSession
     cell = 2.0 * radius_m / geo.METRES_PER_DEG
-    bin_key = ["row", "col", "bi", "bj"]
-    pts = _located(points, name, cell)
-    boxes = pts.groupBy(*bin_key).agg(
-        F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.min("lng").alias("lng0"), F.max("lng").alias("lng1")
-    )
+    key = ["row", "col", "bi", "bj"]
+    spots = reliable_checkpoint(spark, _located(points, name, cell))
     sites = (
         left.select(F.col(lat).cast("double").alias("slat"), F.col(lng).cast("double").alias("slng"))
         .filter(F.col("slat").isNotNull() & F.col("slng").isNotNull())
         .distinct()
     )
+    met = _reach(_reached_cells(sites, radius_m, cell).join(_boxes(spots, 0), ["row", "col"]))
+    met = met.withColumn("bound", F.lit(float("inf")))
+    pairs = None
+    for level in range(_LEVELS + 1):
+        open_boxes = reliable_checkpoint(spark, _open(met, radius_m))
+        crowded = F.col("n") > (_CROWD if level < _LEVELS else 1 << 62)
+        near = open_boxes.filter(~crowded).select("slat", "slng", *key).join(spots.select(*spots.columns, *_bin(level)), key)
+        near = near.select("slat", "slng", "lat", "lng", "near_name")
+        pairs = near if pairs is None else pairs.unionByName(near)
+        if open_boxes.filter(crowded).isEmpty():
+            break
+        inner = open_boxes.filter(crowded).select("slat", "slng", "bound", "row", "col", F.col("bi").alias("pi"), F.col("bj").alias("pj"))
+        met = _reach(inner.join(_boxes(spots, level + 1), ["row", "col", "pi", "pj"]))
     s, t = F.col("slat"), F.col("slng")
-    lat0, lat1 = F.col("lat0"), F.col("lat1")
-    gaps = _reached_cells(sites, radius_m, cell).join(boxes, ["row", "col"]).withColumns(
-        {
-            "__west": geo.lng_gap(t, F.col("lng0")),
-            "__east": geo.lng_gap(t, F.col("lng1")),
-            "__c0": F.cos(F.radians((s + lat0) / 2.0)),
-            "__c1": F.cos(F.radians((s + lat1) / 2.0)),
-        }
-    )
-    west, east, c0, c1 = F.col("__west"), F.col("__east"), F.col("__c0"), F.col("__c1")
-    near_y = F.greatest(lat0 - s, s - lat1, F.lit(0.0)) * geo.METRES_PER_DEG
-    far_y = F.greatest(F.abs(lat0 - s), F.abs(lat1 - s)) * geo.METRES_PER_DEG
-    near_x = (
-        F.when((west <= 0) & (east >= 0), F.lit(0.0)).otherwise(F.least(F.abs(west), F.abs(east)))
-        * geo.METRES_PER_DEG
-        * F.least(c0, c1)
-    )
-    # The cosine peaks inside the span when the middle latitudes straddle the equator.
-    top_cos = F.when((s + lat0) * (s + lat1) <= 0, F.lit(1.0)).otherwise(F.greatest(c0, c1))
-    far_x = F.greatest(F.abs(west), F.abs(east)) * geo.METRES_PER_DEG * top_cos
-    slack = 1e-9
-    met = gaps.select(
-        "slat",
-        "slng",
-        *bin_key,
-        (F.sqrt(near_y * near_y + near_x * near_x) * (1 - slack)).alias("least_m"),
-        (F.sqrt(far_y * far_y + far_x * far_x) * (1 + slack)).alias("most_m"),
-    ).filter(F.col("least_m") <= radius_m)
-    bounds = met.groupBy("slat", "slng").agg(
-        F.min("most_m").alias("bound"), F.collect_list(F.struct("least_m", *bin_key)).alias("boxes")
-    )
-    open_boxes = bounds.select(
-        "slat", "slng", F.inline(F.filter("boxes", lambda b: b["least_m"] <= F.col("bound")))
-    ).drop("least_m")
-    wanted = pts.join(open_boxes.select(*bin_key).distinct(), bin_key, "left_semi")
-    spots = wanted.groupBy(*bin_key, "lat", "lng").agg(F.min("near_name").alias("near_name"))
     nearest = (
-        open_boxes.join(spots, bin_key)
-        .groupBy("slat", "slng")
+        pairs.groupBy("slat", "slng")
         .agg(F.min(F.struct(geo.metres(s, t, F.col("lat"), F.col("lng")).alias("d"), F.col("near_name"))).alias("best"))
         .filter(F.col("best.d") <= radius_m)
     )

@@ -123,13 +123,13 @@ def normalise_notices(spark, sf):
 @query(
     "A6",
     f"""WITH f(i, phrase) AS (VALUES {", ".join(f"({i}, {quoted(p)})" for i, (p, _) in enumerate(vocab.NOTICE_FAMILIES))}),
-        n AS (SELECT {q_pick(_PHRASES, "o_orderkey")} AS ph FROM orders WHERE o_orderkey % 13 <> 7)
+        n AS (SELECT {q_pick(_PHRASES, "o_orderkey")} AS ph FROM orders)
         SELECT i AS phrase_ord, phrase, count(ph) AS n FROM f LEFT JOIN n ON contains(lower(ph), lower(phrase)) GROUP BY ALL""",
 )
 def notice_family_counts(spark, sf):
     from ...operators import aggregates, joins
 
-    d = notice_table(spark, sf).filter("row_ord % 13 <> 7")
+    d = notice_table(spark, sf)
     return aggregates.family_counts(joins.explode_phrases(d, F.col("title"), vocab.NOTICE_FAMILIES))
 
 
@@ -254,11 +254,10 @@ def elements(spark, sf):
     f"""WITH e AS (SELECT c_custkey, c_name, {q_pick(_LIFE, "c_custkey")} AS tag, {q_lat("c_custkey")} AS y, {q_lng("c_custkey")} AS x FROM customer WHERE c_custkey % 10 <> 9)
         SELECT c_custkey AS row_ord, CASE WHEN c_custkey % 4 > 0 THEN c_name ELSE 'Unnamed burial ground' END AS name, 'Recorded in OpenStreetMap as ' || split_part(tag, ':', 1) AS status,
           'https://www.openstreetmap.org/' || CASE WHEN c_custkey % 2 = 0 THEN 'node/' ELSE 'way/' END || c_custkey AS url,
-          CASE WHEN y = 0 THEN 0.025 ELSE {q_snap("y")} END AS lat, {q_snap("x")} AS lng, 'coarsened' AS geo FROM e WHERE tag <> 'landuse' AND y <> 0 AND x <> 0""",
+          CASE WHEN y = 0 THEN 0.025 ELSE {q_snap("y")} END AS lat, {q_snap("x")} AS lng, 'coarsened' AS geo FROM e WHERE tag <> 'landuse' AND (c_custkey % 2 = 1 OR (y <> 0 AND x <> 0))""",
 )
 def normalise_removed_grounds(spark, sf):
-    e = elements(spark, sf).filter("coalesce(lat, center.lat, 1) <> 0 AND coalesce(lon, center.lon, 1) <> 0")
-    return normalise.removed_grounds(e).select("row_ord", "name", "status", "url", "lat", "lng", "geo")
+    return normalise.removed_grounds(elements(spark, sf)).select("row_ord", "name", "status", "url", "lat", "lng", "geo")
 
 
 # --- N7-N10 ---------------------------------------------------------------------------------

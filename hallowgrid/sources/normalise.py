@@ -235,9 +235,9 @@ def planning(features: DataFrame) -> DataFrame:
 
 
 def _element_point(df: DataFrame) -> Column:
+    """Own coordinates, else those of the centre; a zero counts as not given."""
     return geo.point(
-        F.coalesce(F.nullif("lat", LIT(0.0)), F.col("center.lat"), F.col("lat")),
-        F.coalesce(F.nullif("lon", LIT(0.0)), F.col("center.lon"), F.col("lon")),
+        F.coalesce(F.nullif("lat", LIT(0.0)), F.col("center.lat")), F.coalesce(F.nullif("lon", LIT(0.0)), F.col("center.lon"))
     )
 
 
