@@ -38,6 +38,24 @@ def radius_join(spark, sf):
     return spatial.nearest_within(projects, line_points(spark, sf), 250.0)
 
 
+def radius_join_published(spark, sf):
+    """The baseline's own size: at most 200,000 points and 20,000 projects at 250 m."""
+    projects = table(spark, sf, "part").select("p_partkey", *fine_point(F.col("p_partkey")))
+    return spatial.nearest_within(projects, line_points(spark, sf).limit(200_000), 250.0)
+
+
+def radius_join_one_bin(spark, sf):
+    """All projects and as many distinct points inside 20 metres."""
+    k = F.col("p_partkey")
+
+    def spot(seed):
+        part = lambda s: F.pmod(F.xxhash64(k, F.lit(s)), F.lit(1_000_003)) / 1_000_003 * 0.0002
+        return (F.lit(50.00005) + part(seed)).alias("lat"), (F.lit(10.00005) + part(seed + 1)).alias("lng")
+
+    d = table(spark, sf, "part")
+    return spatial.nearest_within(d.select(k, *spot(1)), d.select(k.cast("string").alias("name"), *spot(3)), 250.0)
+
+
 def radius_join_dense(spark, sf):
     """A third of all points and projects inside one square kilometre."""
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
@@ -75,6 +93,8 @@ def news_classifiers(spark, sf):
 
 BENCH = {
     "radius_join": radius_join,
+    "radius_join_published": radius_join_published,
+    "radius_join_one_bin": radius_join_one_bin,
     "radius_join_dense": radius_join_dense,
     "tile_layer": tile_layer,
     "topic_filter_default": topic_filter_default,

@@ -154,7 +154,3 @@ def next_state(state: DataFrame, results: DataFrame, complete: bool, now: Column
         .agg(F.min("ts").alias("ts"))
     )
     return out.unionByName(done.select("tile_key", F.lit("done").alias("state"), "ts"))
-
-
-def rounded_box(df: DataFrame, digits: int = 3) -> DataFrame:
-    return df.withColumns({c: scalar.exact_round(F.col(c), digits) for c in "swne"})

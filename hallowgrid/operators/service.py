@@ -9,23 +9,30 @@ GLOBAL = "GLOBAL"
 
 
 def ancestor_areas(path: Column) -> Column:
-    """Service areas of a unit path ``ISO3/Unit/...``, deepest first, then GLOBAL."""
+    """Service areas of a unit path ``ISO3/Unit/...``, deepest first."""
     parts = F.split(path, "/", -1)
-    depth = F.size(parts)
-    areas = F.transform(F.sequence(depth, F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    return F.concat(areas, F.array(F.lit(GLOBAL)))
+    return F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+
+
+def _by_area(items: DataFrame, serves: str) -> DataFrame:
+    many = items.schema[serves].dataType.typeName() == "array"
+    located = F.coalesce(F.col("located"), F.lit(False)) if "located" in items.columns else F.lit(False)
+    area = F.explode(serves) if many else F.col(serves)
+    each = items.select("*", area.alias("area"), F.when(located, "located here").otherwise("serves").alias("relation"))
+    return each.drop(serves, "located")
 
 
 def attach_by_area(units: DataFrame, items: DataFrame, path: str = "path", serves: str = "serves") -> DataFrame:
     """Items whose service area covers a unit; ``rank`` 0 is the deepest area.
 
     ``items.serves`` is one area or an array of areas.  An item that serves several
-    areas of one unit appears once, at the deepest.  Items of the area GLOBAL serve
-    every unit: they are joined through the area key like any other.
+    areas of one unit appears once, at the deepest.  ``relation`` is "located here" for
+    items flagged ``located``, which belong where they stand, else "serves".  Items of the
+    area GLOBAL are not repeated for every unit: :func:`global_shelf` has them once, so
+    the output grows with local matches only and no key joins all units to all items.
     """
     areas = units.select(*units.columns, F.posexplode(ancestor_areas(F.col(path))).alias("rank", "area"))
-    many = items.schema[serves].dataType.typeName() == "array"
-    each = items.withColumn("area", F.explode(serves) if many else F.col(serves)).drop(serves)
+    each = _by_area(items, serves).filter(F.col("area") != GLOBAL)
     keep = [c for c in each.columns if c != "area"]
     return (
         areas.join(each, "area")
@@ -35,11 +42,26 @@ def attach_by_area(units: DataFrame, items: DataFrame, path: str = "path", serve
     )
 
 
+def global_shelf(items: DataFrame, serves: str = "serves") -> DataFrame:
+    """Items that serve every unit, once each; readers show them below a unit's own."""
+    each = _by_area(items, serves).filter(F.col("area") == GLOBAL)
+    return each.drop("area").distinct()
+
+
 def guides_then_resources(units: DataFrame, guides: DataFrame, resources: DataFrame, path: str = "path") -> DataFrame:
-    """Guides and resources of a unit in reading order; both need ``title`` and ``serves``."""
-    g = attach_by_area(units, guides.select("title", "serves"), path).withColumn("shelf", F.lit(0))
-    r = attach_by_area(units, resources.select("title", "serves"), path).withColumn("shelf", F.lit(1))
-    return g.unionByName(r)
+    """Guides and resources of a unit in reading order; both need ``title`` and ``serves``.
+
+    What serves every unit comes once, with NULL in the columns of the unit.
+    """
+    shelves = []
+    for i, items in enumerate((guides, resources)):
+        own = items.select("title", "serves", *[c for c in ("located",) if c in items.columns])
+        for part in (attach_by_area(units, own, path), global_shelf(own)):
+            shelves.append(part.withColumn("shelf", F.lit(i)))
+    out = shelves[0]
+    for part in shelves[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def regroup_by_intention(items: DataFrame, intentions: DataFrame) -> DataFrame:

@@ -258,9 +258,11 @@ def units_across_180(spark, sf):
 @query(
     "D4",
     """WITH u AS (SELECT c_custkey, n_name, 'C' || n_regionkey || '/' || n_name || '/' || c_mktsegment AS path, 'C' || n_regionkey AS a2, 'C' || n_regionkey || '/' || n_name AS a1 FROM customer JOIN nation ON n_nationkey = c_nationkey),
-        i AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'GLOBAL' WHEN 1 THEN 'C' || (s_suppkey % 5) ELSE 'C' || n_regionkey || '/' || n_name END AS serves FROM supplier JOIN nation ON n_nationkey = s_nationkey),
-        h AS (SELECT c_custkey, s_suppkey, CASE WHEN serves = path THEN 0 WHEN serves = a1 THEN 1 WHEN serves = a2 THEN 2 ELSE 3 END AS rank FROM u JOIN i ON serves IN (path, a1, a2, 'GLOBAL'))
-       SELECT c_custkey, rank, count(*) AS n, sum(s_suppkey) AS items FROM h GROUP BY ALL""",
+        i AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'GLOBAL' WHEN 1 THEN 'C' || (s_suppkey % 5) ELSE 'C' || n_regionkey || '/' || n_name END AS serves,
+                CASE WHEN s_suppkey % 4 = 0 THEN 'located here' ELSE 'serves' END AS relation FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+        h AS (SELECT c_custkey, s_suppkey, relation, CASE WHEN serves = path THEN 0 WHEN serves = a1 THEN 1 WHEN serves = a2 THEN 2 END AS rank FROM u JOIN i ON serves IN (path, a1, a2)
+              UNION ALL SELECT NULL, s_suppkey, relation, NULL FROM i WHERE serves = 'GLOBAL')
+       SELECT c_custkey, rank, relation, count(*) AS n, sum(s_suppkey) AS items FROM h GROUP BY ALL""",
 )
 def resources_by_area(spark, sf):
     n = table(spark, sf, "nation")
@@ -270,15 +272,17 @@ def resources_by_area(spark, sf):
     by = F.col("s_suppkey") % 3
     own = F.concat(lit("C"), F.col("n_regionkey").cast("string"), lit("/"), F.col("n_name"))
     serves = F.when(by == 0, F.array(lit("GLOBAL"), lit("GLOBAL"))).when(by == 1, F.array(F.concat(lit("C"), (F.col("s_suppkey") % 5).cast("string")))).otherwise(F.array(own))
-    items = table(spark, sf, "supplier").join(n, F.col("n_nationkey") == F.col("s_nationkey")).select("s_suppkey", serves.alias("serves"))
-    out = service.attach_by_area(units, items)
-    return out.groupBy("c_custkey", "rank").agg(F.count(lit(1)).alias("n"), F.sum("s_suppkey").alias("items"))
+    items = table(spark, sf, "supplier").join(n, F.col("n_nationkey") == F.col("s_nationkey")).select(
+        "s_suppkey", serves.alias("serves"), (F.col("s_suppkey") % 4 == 0).alias("located")
+    )
+    out = service.attach_by_area(units, items).unionByName(service.global_shelf(items), allowMissingColumns=True)
+    return out.groupBy("c_custkey", "rank", "relation").agg(F.count(lit(1)).alias("n"), F.sum("s_suppkey").alias("items"))
 
 
 @query(
     "D5",
     """SELECT n_nationkey, shelf, count(*) AS n FROM nation JOIN (SELECT 0 AS shelf, 'R' || r_regionkey AS serves FROM region UNION ALL SELECT 1, CASE WHEN s_suppkey % 2 = 0 THEN 'GLOBAL' ELSE 'R' || (s_suppkey % 5) END FROM supplier)
-       ON serves IN ('R' || n_regionkey, 'GLOBAL') GROUP BY ALL""",
+       ON serves = 'R' || n_regionkey GROUP BY ALL UNION ALL SELECT NULL, 1, count(*) FROM supplier WHERE s_suppkey % 2 = 0""",
 )
 def guides_before_resources(spark, sf):
     units = table(spark, sf, "nation").select("n_nationkey", F.concat(lit("R"), F.col("n_regionkey").cast("string"), lit("/"), F.col("n_name")).alias("path"))

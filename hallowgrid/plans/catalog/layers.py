@@ -186,3 +186,21 @@ def isolated_sources(spark, sf):
     return status.join(n, "source", "left").select("source", "source_ord", F.coalesce("n", lit(0)).alias("n"), "ok")
 
 
+
+
+@query(
+    "K5, K1",
+    "SELECT v AS version, v > 1 AS data_left, v > 1 AS visible FROM (VALUES (0), (1), (2), (3)) AS t(v) WHERE (SELECT count(*) FROM orders) > 0",
+)
+def pruned_versions(spark, sf):
+    """Publish a layer four times and prune: the data of the last two versions stay, each with its manifest."""
+    base, paths = shared_dir(spark), []
+    rows = table(spark, sf, "orders").select(
+        F.element_at(F.array(lit("cemetery"), lit("museum")), (F.col("o_orderkey") % 2 + 1).cast("int")).alias("ftype"), lat(F.col("o_custkey")).alias("lat"), lng(F.col("o_custkey")).alias("lng")
+    )
+    for _ in range(4):
+        paths.append(sinks.publish_layer(rows, base).path.rsplit("/", 1)[-1])
+    gone = sinks.prune_versions(spark, base)
+    there = spark.read.parquet(f"{base}/data").select(F.col("v").cast("string").alias("v")).distinct()
+    log = small_table(spark, [(i, p[2:], p not in gone) for i, p in enumerate(paths)], "version int, v string, data_left boolean")
+    return log.join(there.withColumn("visible", lit(True)), "v", "left").select("version", "data_left", F.coalesce("visible", lit(False)).alias("visible"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 
 from ...functions import geo
+from ...session import shared_dir
 from ...sources import scan
 from .base import q_pick, query, pick, table
 
@@ -286,3 +287,43 @@ def sparql_results(spark, sf):
     return out.select("c_custkey", "item", "label", at["lat"].alias("lat"), at["lng"].alias("lng"), "date")
 
 
+
+
+@query(
+    "SC1, SC2, SC3, SC4",
+    """SELECT 'records' AS reader, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, count(DISTINCT o_orderstatus) AS words FROM orders
+       UNION ALL SELECT 'csv', count(*), CAST(sum(o_orderkey) AS BIGINT), count(DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN 'extra, ' || o_orderstatus || ' more' END) FROM orders
+       UNION ALL SELECT 'geojson', count(*), CAST(sum(o_orderkey) AS BIGINT), count(DISTINCT o_orderstatus) FROM orders
+       UNION ALL SELECT 'rss', count(*), CAST(sum(o_orderkey) AS BIGINT), count(DISTINCT o_orderstatus) FROM orders
+       UNION ALL SELECT 'atom', count(*), CAST(sum(o_orderkey) AS BIGINT), count(DISTINCT o_orderstatus) FROM orders""",
+)
+def landed_files(spark, sf):
+    """Each file reader over files landed from a table: JSON lines, CSV with surplus fields, GeoJSON lines, RSS, Atom."""
+    base, k = shared_dir(spark), F.col("o_orderkey")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    o.select(F.concat(lit("n "), F.col("o_orderstatus")).alias("name"), k.alias("row_ord")).write.json(f"{base}/records")
+    surplus = F.when(k % 3 == 0, F.concat(lit(',"extra, '), F.col("o_orderstatus"), lit('",,more'))).otherwise("")
+    o.select(F.concat(k.cast("string"), lit(',"a ""b"""'), surplus).alias("value")).write.text(f"{base}/csv")
+    spot = F.concat(lit('{"type":"Feature","geometry":{"type":"Point","coordinates":[10.5,20.5]},"properties":{"k":"'), k.cast("string"), lit('","s":"'), F.col("o_orderstatus"), lit('"}}'))
+    o.select(spot.alias("value")).write.text(f"{base}/geojson")
+    item = {"title": F.col("o_orderstatus"), "description": lit("d"), "pubDate": lit("Mon, 01 Jan 2024 00:00:00 GMT"), "link": F.concat(lit("http://x/"), k.cast("string"))}
+    entry = {"title": F.col("o_orderstatus"), "summary": lit("d"), "updated": lit("2024-01-01T00:00:00Z"), "link": F.struct(item["link"].alias("_href"))}
+    for name, tag, root, cols in (("rss", "item", "channel", item), ("atom", "entry", "feed", entry)):
+        o.select(*[c.alias(n) for n, c in cols.items()]).write.format("xml").option("rowTag", tag).option("rootTag", root).save(f"{base}/{name}")
+
+    def report(name, df, number, word):
+        return df.agg(F.count(lit(1)).alias("n"), F.sum(number.cast("bigint")).alias("keys"), F.count_distinct(word).alias("words")).select(lit(name).alias("reader"), "n", "keys", "words")
+
+    csv = spark.read.text(f"{base}/csv")
+    link = F.regexp_extract("link", "([0-9]+)$", 1)
+    parts = [
+        report("records", scan.read_record_document(spark, f"{base}/records", lines=True), F.col("row_ord"), F.col("name")),
+        report("csv", scan.csv_lines(csv, F.col("value"), ["id", "title"]), F.col("id"), F.col("_overflow")),
+        report("geojson", scan.read_geojson(spark, f"{base}/geojson"), F.col("props")["k"], F.col("props")["s"]),
+        report("rss", scan.read_feed_items(spark, f"{base}/rss"), link, F.col("title")),
+        report("atom", scan.read_feed_items(spark, f"{base}/atom", "entry"), link, F.col("title")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

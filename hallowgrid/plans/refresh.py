@@ -48,7 +48,8 @@ def daily(
 
 def publish_daily(spark: SparkSession, records: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
     prior = sinks.read_published(spark, path)
-    return sinks.publish_records(daily(records, prior, cfg, stage=True), path, cfg.records_thin)
+    rows = ordering.by_impact(daily(records, prior, cfg, stage=True))
+    return sinks.publish_records(rows, path, cfg.records_thin)
 
 
 def federation_merge(spark: SparkSession, parts: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:

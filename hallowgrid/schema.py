@@ -78,7 +78,6 @@ class Config:
     layer_tile_deg: int = 10
     tile_threshold: int = 40_000
     grid_step_deg: float = 2.5
-    grid_floor_deg: float = 0.3125
     done_max_age_days: int = 14
     news_max_age_days: int = 90
     per_query: int | None = None
@@ -86,9 +85,6 @@ class Config:
     records_thin: int = 4
     news_thin: int = 5
     facility_ratio: float = 0.6
-    notice_days: int = 1095
-    review_days: int = 365
-    case_days: int = 1825
     exclude_individual_cases: bool = False
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import geo, scalar, text
 from ..operators import dedup, gate, joins
+from ..session import reliable_checkpoint
 from ..schema import FACILITY, NEWS, RECORD, conform, ensure_row_ord
 
 LIT = F.lit
@@ -37,6 +38,11 @@ def _record(df: DataFrame, source: str, desc, impact: int | None = None, place_a
     return conform(rated.withColumns(nulls), RECORD)
 
 
+def _since(df: DataFrame, day: Column | None) -> DataFrame:
+    """Rows dated on a day or later; a window leaves undated rows out, none keeps all."""
+    return df if day is None else df.filter(F.col("date") >= day.cast("string"))
+
+
 def _at(lat: float, lng: float) -> Column:
     return F.struct(LIT(float(lat)).alias("lat"), LIT(float(lng)).alias("lng"))
 
@@ -425,8 +431,8 @@ def projects_near_grounds(near: DataFrame, feed: str = "the projects feed") -> D
 
 
 # --- N14-N16 ------------------------------------------------------------------------------------
-def cases(raw: DataFrame, courts=vocab.COURTS, topic=None) -> DataFrame:
-    """Court cases, plotted at the court; unlisted courts at national level."""
+def cases(raw: DataFrame, courts=vocab.COURTS, topic=None, since: Column | None = None) -> DataFrame:
+    """Court cases, plotted at the court; unlisted courts at national level.  ``since`` keeps cases filed from a day on."""
     snips = F.array_join(F.transform(F.coalesce("opinions", F.array().cast("array<struct<snippet:string>>")), lambda o: _t(o["snippet"])), " ")
     named = F.concat_ws(" ", _t(F.col("caseName")), _t(F.col("suitNature")))
     d = ensure_row_ord(raw).filter(F.coalesce(F.col("cluster_id").cast("string"), LIT("")) != "")
@@ -459,14 +465,17 @@ def cases(raw: DataFrame, courts=vocab.COURTS, topic=None) -> DataFrame:
         F.coalesce(F.concat(LIT(", docket "), docket), LIT("")),
         F.coalesce(F.concat(LIT(". "), scalar.strip_marks(tail)), LIT("")),
     )
-    return _record(out, "courtlistener", lambda n: parts, impact=2)
+    return _record(_since(out, since), "courtlistener", lambda n: parts, impact=2)
 
 
-def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab.OBJECTOR_ORGS) -> DataFrame:
+def comments(
+    raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab.OBJECTOR_ORGS, since: Column | None = None
+) -> DataFrame:
     """Objections of named bodies on federal dockets, plotted at the agency.
 
     ``raw`` has ``id, attributes{title, agencyId, postedDate}`` and optionally
-    ``term``, the search that found the row.
+    ``term``, the search that found the row.  ``since`` keeps comments posted from a
+    day on.
     """
     if "term" not in raw.columns:
         raw = raw.withColumn("term", LIT(term))
@@ -496,7 +505,7 @@ def comments(raw: DataFrame, term: str = "", agencies=vocab.AGENCIES, orgs=vocab
         }
     )
     said = F.format_string(vocab.TEXT["comment_desc"], _t(F.col("term")), F.col("id"))
-    return _record(out, "tribal_comments", lambda n: (said,), impact=2)
+    return _record(_since(out, since), "tribal_comments", lambda n: (said,), impact=2)
 
 
 def heritage_cases(rows: DataFrame, row: str = "row", metric: str | None = None) -> DataFrame:
@@ -727,9 +736,9 @@ def news_candidates(
 
 def news(entries: DataFrame, gazetteer: DataFrame, **options) -> DataFrame:
     """Feed entries to news rows, geo-tagged.  Deduplicate with ``dedup_news``."""
-    d = news_candidates(entries, **options)
+    # Written once: the texts are cleaned for the tagging and for the rows together.
+    d = reliable_checkpoint(entries.sparkSession, news_candidates(entries, **options).withColumn("text_key", F.sha2("folded", 256)))
     # Tag each distinct text once: copies of a story share one tagging.
-    d = d.withColumn("text_key", F.sha2("folded", 256))
     texts = d.select("text_key", "folded").groupBy("text_key").agg(F.any_value("folded").alias("folded"))
     tagged = joins.geo_tag(texts, "text_key", F.col("folded"), gazetteer)
     return conform(d.join(tagged.select("text_key", "iso", "region"), "text_key", "left"), NEWS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,22 +36,27 @@ class Registry:
         """All sources as one lazy union."""
         return union_in_order([conform(fn(spark), RECORD) for fn in self._sources.values()])
 
-    def run_isolated(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    def run_isolated(self, spark: SparkSession, at_once: int = 6) -> tuple[DataFrame, DataFrame]:
         """Stage each source as its own job; a failing source is recorded and skipped.
 
-        Returns (records, status).  Staging goes to the shared folder, so a lost
-        executor costs a retry of its tasks and nothing is recomputed downstream.
+        Up to ``at_once`` jobs are submitted together, so a source waiting for its last
+        task leaves no executor idle; the result keeps roster order.  Returns (records,
+        status).  Staging goes to the shared folder, so a lost executor costs a retry of
+        its tasks and nothing is recomputed downstream.
         """
         base = shared_dir(spark)
-        status, staged = [], []
-        for i, (name, fn) in enumerate(self._sources.items()):
+
+        def stage(entry) -> tuple:
+            i, (name, fn) = entry
             try:
-                path = f"{base}/{i:03d}"
                 rows = conform(fn(spark), RECORD).withColumn("source_ord", F.lit(i).cast("int"))
-                rows.write.parquet(path)
-                staged.append(path)
-                status.append((name, i, True, None))
+                rows.write.parquet(f"{base}/{i:03d}")
+                return (name, i, True, None)
             except Exception as e:  # noqa: BLE001 - isolation is the point
-                status.append((name, i, False, str(e).split("\n")[0][:300]))
+                return (name, i, False, str(e).split("\n")[0][:300])
+
+        with ThreadPoolExecutor(at_once) as pool:
+            status = list(pool.map(stage, enumerate(self._sources.items())))
+        staged = [f"{base}/{i:03d}" for _, i, ok, _ in status if ok]
         records = spark.read.schema(RECORD).parquet(*staged) if staged else spark.createDataFrame([], RECORD)
         return records, small_table(spark, status, "source string, source_ord int, ok boolean, error string")

@@ -31,15 +31,17 @@ def unwrap_payloads(df: DataFrame, payload: Column, keys=vocab.GRID_ROW_KEYS) ->
     return parsed.select(*df.columns, F.posexplode(payload_rows(F.col("__v"), keys)).alias("row_pos", "row"))
 
 
-def read_record_document(spark: SparkSession, path: str, keys=("records", "projects"), schema=RECORD) -> DataFrame:
+def read_record_document(
+    spark: SparkSession, path: str, keys=("records", "projects"), schema=RECORD, lines: bool = False
+) -> DataFrame:
     """Records of a (gzipped) JSON document: a bare list or ``{"records": [...]}``.
 
-    A multi-line document cannot be split; landing JSON lines instead makes the same
-    call parallel within a file, because a line that is a record passes unchanged.
+    Such a document cannot be split.  ``lines`` reads files with one record (or one
+    wrapped list) to a line, by many tasks each.
     """
     wrapped = [T.StructField(k, T.ArrayType(schema)) for k in keys]
     doc = T.StructType(list(schema.fields) + [f for f in wrapped if f.name not in schema.fieldNames()])
-    raw = spark.read.schema(doc).option("multiLine", True).json(path)
+    raw = spark.read.schema(doc).option("multiLine", not lines).json(path)
     own = F.struct(*[F.col(f"`{n}`") for n in schema.fieldNames()])
     rows = F.coalesce(*[F.col(k) for k in keys], F.array(own))
     any_set = reduce(lambda a, b: a | b, [F.col(f"r.`{n}`").isNotNull() for n in schema.fieldNames()])
@@ -66,9 +68,12 @@ def recognised_columns(columns, known=vocab.GRID_COLUMNS, at_least: int = 2) ->
 def geojson_features(df: DataFrame, payload: Column, per: int | None = None) -> DataFrame:
     """Features of each payload with a usable centre: ``feature_pos, lat, lng, props``.
 
-    ``per`` limits features per payload, counted before unusable geometries drop out.
+    A payload is a collection or one feature.  ``per`` limits features per payload,
+    counted before unusable geometries drop out.
     """
-    feats = F.try_variant_get(F.try_parse_json(payload), "$.features", "array<variant>")
+    doc = F.try_parse_json(payload)
+    one = F.when(F.try_variant_get(doc, "$.type", "string") == "Feature", F.array(doc))
+    feats = F.coalesce(F.try_variant_get(doc, "$.features", "array<variant>"), one)
     if per:
         feats = F.slice(feats, 1, per)
     one = df.select("*", F.posexplode(feats).alias("feature_pos", "__f"))
@@ -80,8 +85,12 @@ def geojson_features(df: DataFrame, payload: Column, per: int | None = None) ->
     return kept.select(*df.columns, "feature_pos", "__p.lat", "__p.lng", "__p.reprojected", "props")
 
 
-def read_geojson(spark: SparkSession, path: str, per: int | None = None) -> DataFrame:
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("resource"), "value")
+def read_geojson(spark: SparkSession, path: str, per: int | None = None, lines: bool = True) -> DataFrame:
+    """Landed features, one to a line, so that a file is read by many tasks; ``feature_pos`` is then 0.
+
+    With ``lines=False`` each file is one document, which one task has to hold.
+    """
+    docs = spark.read.text(path, wholetext=not lines).select(F.col("_metadata.file_path").alias("resource"), "value")
     return geojson_features(docs, F.col("value"), per).drop("value")
 
 

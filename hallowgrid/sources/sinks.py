@@ -8,6 +8,7 @@ were written and counted; a refused or failed write leaves readers where they we
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,13 +50,20 @@ def read_published(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def guarded_publish(
-    df: DataFrame, path: str, min_rows: int = 1, min_ratio: float = 0.0, partition_by=(), name: str = "publish"
+    df: DataFrame,
+    path: str,
+    min_rows: int = 1,
+    min_ratio: float = 0.0,
+    partition_by=(),
+    name: str = "publish",
+    describe: Callable[[DataFrame, str], None] | None = None,
 ) -> Outcome:
     """Publish unless the result is empty or suspiciously thin.
 
     Refused: no rows at all; fewer than ``min_rows`` while more were published before;
     fewer than ``min_ratio`` of what was published before.  Rows are counted by the
-    write itself.
+    write itself.  ``describe`` gets the rows written and the version's name before the
+    version becomes visible, so that readers never see one without its description.
     """
     spark = df.sparkSession
     prior = current_version(spark, path)
@@ -72,6 +80,8 @@ def guarded_publish(
         return Outcome(False, "thin", n, prior_rows, None)
     if n < prior_rows * min_ratio:
         return Outcome(False, "thin", n, prior_rows, None)
+    if describe:
+        describe(spark.read.parquet(f"{path}/{data}"), f"v={version}")
     spark.createDataFrame([(version, n, data)], _COMMITS).coalesce(1).write.mode("append").json(f"{path}/_versions")
     return Outcome(True, "ok", n, prior_rows, f"{path}/{data}")
 
@@ -95,12 +105,11 @@ def slim(df: DataFrame, desc_chars: int | None = None) -> DataFrame:
 
 def publish_records(df: DataFrame, path: str, min_rows: int = 4) -> Outcome:
     """Records behind the guards, and a one-row metadata table for the same version."""
-    done = guarded_publish(slim(df), path, min_rows=min_rows, name="records")
-    if done.written:
-        spark = df.sparkSession
-        meta = aggregates.meta_row(spark.read.parquet(done.path))
-        meta.write.mode("overwrite").parquet(f"{path}/_meta/{done.path.rsplit('/', 1)[-1]}")
-    return done
+
+    def describe(written: DataFrame, version: str) -> None:
+        aggregates.meta_row(written).write.mode("overwrite").parquet(f"{path}/_meta/{version}")
+
+    return guarded_publish(slim(df), path, min_rows=min_rows, name="records", describe=describe)
 
 
 def export_json_lines(df: DataFrame, path: str) -> None:
@@ -116,15 +125,36 @@ def publish_layer(df: DataFrame, path: str, min_ratio: float = 0.6, threshold: i
     cell that holds a tenth of the world over several tasks and packs small cells
     together, so neither one task nor the file count grows with the skew.
     """
-    spark = df.sparkSession
     d = df if {"cell", "cell_lat", "cell_lng"} <= set(df.columns) else with_layer_cell(df, deg)
     spread = d.hint("rebalance", "ftype", "cell_lat", "cell_lng")
-    done = guarded_publish(spread, path, min_ratio=min_ratio, partition_by=("ftype", "cell_lat", "cell_lng"), name="layer")
-    if done.written:
-        written = spark.read.parquet(done.path)
-        manifest = aggregates.layer_manifest(written, threshold)
-        manifest.write.mode("overwrite").parquet(f"{path}/_manifest/{done.path.rsplit('/', 1)[-1]}")
-    return done
+    parts = ("ftype", "cell_lat", "cell_lng")
+
+    def describe(written: DataFrame, version: str) -> None:
+        aggregates.layer_manifest(written, threshold).write.mode("overwrite").parquet(f"{path}/_manifest/{version}")
+
+    return guarded_publish(spread, path, min_ratio=min_ratio, partition_by=parts, name="layer", describe=describe)
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete the data of all but the last ``keep`` committed versions, and of versions never committed.
+
+    A version is what this engine writes and replaces as a whole, so stale tiles go with
+    it.  The list is bounded by the number of versions; files are deleted by folder.
+    """
+    commits = spark.read.schema(_COMMITS).json(f"{path}/_versions").orderBy(F.desc("version"))
+    rows = commits.select("version", "data").collect()
+    kept, last = {r["data"] for r in rows[:keep]}, rows[0]["version"] if rows else 0
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}/data")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        # what is newer than the last commit may still be in the making
+        if f"data/{name}" not in kept and name.startswith("v=") and int(name[2:]) < last:
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
 
 
 # --- K5: stale tiles ---------------------------------------------------------------------------
