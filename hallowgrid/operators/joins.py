@@ -65,18 +65,13 @@ def gazetteer_lookup(df: DataFrame, query: Column, gazetteer: DataFrame, fallbac
 
 
 # --- J3 -----------------------------------------------------------------------------
-def word_grams(folded: Column, longest: int) -> Column:
-    """Distinct runs of 1..``longest`` words, separators kept as written.
+def word_runs(folded: Column, longest: int) -> Column:
+    """From every word start, the run of up to ``longest`` words and one closing mark, separators kept as written.
 
-    A look-ahead at every word start captures overlapping runs, so each length is one
-    pass of the matcher.  A second capture adds one closing mark ("u.s.").
+    A look-ahead captures overlapping runs in one pass of the matcher.
     """
-    passes = []
-    for n in range(1, longest + 1):
-        run = "[a-z]+" + "[^a-z]+[a-z]+" * (n - 1)
-        passes.append(rf"(?<![a-z])(?=({run}))")
-        passes.append(rf"(?<![a-z])(?=({run}[^a-z\s](?![a-z])))")
-    return F.array_distinct(F.concat(*[F.regexp_extract_all(folded, F.lit(p), F.lit(1)) for p in passes]))
+    run = rf"(?<![a-z])(?=([a-z]+(?:[^a-z]+[a-z]+){{0,{longest - 1}}}[^a-z\s]?))"
+    return F.array_distinct(F.regexp_extract_all(folded, F.lit(run), F.lit(1)))
 
 
 def gazetteer_from(spark, regions: dict, countries: dict, names: dict | None = None) -> DataFrame:
@@ -97,16 +92,19 @@ def geo_tag(df: DataFrame, key, folded: Column, gazetteer: DataFrame, longest: i
 
     ``gazetteer`` has ``alias, iso, region, priority``; aliases are folded and match
     between characters other than a-z; they start with a letter and may end with one
-    punctuation mark.  The texts' word runs are joined to the aliases by equality, so
-    there is no text x alias loop, and the text itself is not carried along.
+    punctuation mark.  The texts' word runs are joined to the aliases by their first word
+    and compared, so there is no text x alias loop, and the text itself is not carried along.
     ``longest`` is the number of words of the longest alias; it is read from the table (one number) unless given.
     """
     if longest is None:
         words = F.size(F.regexp_extract_all("alias", F.lit("[a-z]+"), F.lit(0)))
         longest = gazetteer.agg(F.max(words)).first()[0] or 1
     key = [key] if isinstance(key, str) else list(key)
-    grams = df.select(*key, F.explode(word_grams(folded, longest)).alias("alias"))
-    hits = grams.join(gazetteer.select("alias", "iso", "region", "priority"), "alias")
+    first = lambda c: F.regexp_extract(c, "^[a-z]+", 0)
+    runs = df.select(*key, F.explode(word_runs(folded, longest)).alias("__run")).withColumn("__head", first("__run"))
+    places = gazetteer.select("alias", "iso", "region", "priority", first("alias").alias("__head"))
+    whole = F.startswith("__run", "alias") & ~F.substring(F.col("__run"), F.length("alias") + 1, F.lit(1)).rlike("[a-z]")
+    hits = runs.join(places, "__head").filter(whole)
     best = hits.groupBy(*key).agg(F.min_by(F.struct("iso", "region"), "priority").alias("__p"))
     return df.join(best, key, "left").select(*df.columns, F.col("__p.iso").alias("iso"), F.col("__p.region").alias("region"))
 

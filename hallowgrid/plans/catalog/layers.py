@@ -142,7 +142,7 @@ def layer_viewport(spark, sf):
 
 @query(
     "SC12, U4",
-    """SELECT CAST(o_orderkey % 3 AS INTEGER) AS part, o_orderpriority AS source, count(*) AS n FROM orders GROUP BY ALL""",
+    """SELECT CAST(o_orderkey % 3 AS INTEGER) AS part, o_orderpriority AS source, count(*) AS n FROM orders GROUP BY ALL UNION ALL SELECT 3, 'unreadable', 0""",
 )
 def shard_part_files(spark, sf):
     path = shared_dir(spark)
@@ -150,8 +150,24 @@ def shard_part_files(spark, sf):
     for k in range(3):
         part = o.filter(f"o_orderkey % 3 = {k}").select(F.col("o_orderkey").alias("row_ord"), F.col("o_orderpriority").alias("source"), lit(k).alias("count"))
         part.write.option("compression", "gzip").json(f"{path}/part_{k}")
+    # a part that is no JSON file although it is named like one
+    o.select(F.col("o_orderpriority").alias("value")).coalesce(1).write.text(f"{path}/text")
+    _copy_as(spark, f"{path}/text", f"{path}/part_3/broken.json.gz")
     rows = scan.read_parts(spark, f"{path}/part_*")
-    return rows.groupBy(F.regexp_extract("part", r"part_(\d+)", 1).cast("int").alias("part"), "source").agg(F.count(lit(1)).alias("n"))
+    number = F.regexp_extract("part", r"part_(\d+)", 1).cast("int").alias("part")
+    lost = scan.part_coverage(rows, f"{path}/part_*").filter("n_rows = 0 AND bytes > 0")
+    good = rows.groupBy(number, "source").agg(F.count(lit(1)).alias("n"))
+    return good.unionByName(lost.select(number, lit("unreadable").alias("source"), F.col("n_rows").alias("n")))
+
+
+def _copy_as(spark, folder: str, target: str) -> None:
+    """Copy the one part file of a folder under another name."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(conf)
+    part = next(s.getPath() for s in fs.listStatus(path(folder)) if s.getPath().getName().startswith("part-"))
+    fs.mkdirs(path(target).getParent())
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, part, fs, path(target), False, conf)
 
 
 @query(

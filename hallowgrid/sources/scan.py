@@ -321,8 +321,15 @@ def read_parts(spark: SparkSession, glob: str, schema=RECORD, fmt: str = "json")
     return reader.format(fmt).load(glob).withColumn("part", F.col("_metadata.file_path"))
 
 
-def part_coverage(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+def part_coverage(parts: DataFrame, glob: str | None = None, fmt: str = "json") -> DataFrame:
+    """Rows by part.  With ``glob`` every listed file is reported with its ``bytes``: one without rows was empty or
+    could not be read, so nothing is skipped unseen.  Only the listing is read for it, no contents."""
+    seen = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+    if glob is None:
+        return seen
+    files = parts.sparkSession.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}*").load(glob)
+    listed = files.select(F.col("_metadata.file_path").alias("part"), F.col("length").alias("bytes"))
+    return listed.join(seen, "part", "full_outer").select("part", "bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 # --- SC11: findings and guides ------------------------------------------------------------------------

@@ -52,6 +52,8 @@ def test_parts_skip_corrupt_files(spark, tmp_path):
     rows = scan.read_parts(spark, str(tmp_path / "part_*.json.gz"))
     assert sorted(r.name for r in rows.collect()) == ["n0", "n1"]
     assert scan.part_coverage(rows).count() == 2
+    listed = scan.part_coverage(rows, str(tmp_path / "part_*.json.gz")).collect()
+    assert sum(r.n_rows == 0 and r.bytes > 0 for r in listed) == len(listed) - 2
 
 
 def _records(spark, n, source="s", lat=10.0):
