@@ -22,7 +22,7 @@ QUOTES = "\"“”„«»"
 #: Words to either side of a hit that decide its context.
 NEAR = 5
 STEMS = range(3, 9)
-FEATURES = 6
+FEATURES = 7
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -120,7 +120,7 @@ class Reader:
 
     def features(self, text: str | None) -> np.ndarray:
         """Bias; weight of open exact hits, open misspelt ones, quoted ones (all damped); share of addressed hits;
-        whether there is any open hit."""
+        whether there is any open hit, and more than one hit."""
         raw = (text or "").lower().split()
         out = np.zeros(FEATURES)
         out[0] = 1.0
@@ -138,6 +138,7 @@ class Reader:
         if hits:
             out[4] = addressed / len(hits)
             out[5] = float(out[1] > 0)
+            out[6] = float(len(hits) > 1)
         return out
 
 
@@ -216,8 +217,8 @@ def learn_lexicon(sample: DataFrame, most: int = 4000, share: float = 0.01) -> t
 def fit(features: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Ridge logistic regression by Newton steps; classes weigh alike.  Weights are drawn to a prior under which quoted
     hits count little, since few samples hold any."""
-    prior = np.array([-3.0, 2.0, 1.0, 0.2, 0.5, 1.0])
-    w, ridge = prior.copy(), np.array([0.01, 0.5, 0.5, 5.0, 2.0, 0.5])
+    prior = np.array([-3.0, 1.0, 0.5, 0.2, 0.5, 0.5, 2.0])
+    w, ridge = prior.copy(), np.array([0.01, 0.5, 0.5, 5.0, 2.0, 0.5, 0.5])
     if not (len(y) and 0 < y.sum() < len(y)):
         return w
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -255,17 +256,21 @@ def score_toxicity(
     """
     spark = records.sparkSession
     sample = reliable_checkpoint(spark, labelled_sample(records, labels, most_labelled, key, body, label))
-    terms, stems = learn_lexicon(sample)
-    sent = spark.sparkContext.broadcast((terms, stems))
+    # Weights are fitted on features under a lexicon of the other half, as chance terms look perfect in their own.
+    half = F.pmod(F.xxhash64("desc", F.lit("half")), F.lit(2))
+    halves = [learn_lexicon(sample.filter(half == 1 - h)) for h in (0, 1)]
+    apart = spark.sparkContext.broadcast(halves)
 
     def read(batches):
-        reader = Reader(*sent.value)
+        readers = [Reader(*lexicon) for lexicon in apart.value]
         for b in batches:
-            x = [reader.features(t.as_py()).tolist() for t in b.column(1)]
+            x = [readers[h].features(t.as_py()).tolist() for h, t in zip(b.column(2).to_pylist(), b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
-    rows = sample.mapInArrow(read, "toxic int, x array<double>").collect()  # at most most_labelled short rows
+    split = sample.select("toxic", "desc", half.alias("half"))
+    rows = split.mapInArrow(read, "toxic int, x array<double>").collect()  # at most most_labelled short rows
     weights = fit(np.array([r["x"] for r in rows]).reshape(-1, FEATURES), np.array([r["toxic"] for r in rows], float))
+    sent = spark.sparkContext.broadcast(learn_lexicon(sample))
 
     def score(batches):
         reader = Reader(*sent.value)
