@@ -196,7 +196,7 @@ def portal_registry(spark, sf):
     """SELECT 'ods' AS protocol, p_partkey, p_name AS title, p_brand AS notes, 'https://b.example/api/v2/catalog/datasets/d' || p_partkey || '/exports/geojson?limit=-1' AS geojson,
          'https://b.example/explore/dataset/d' || p_partkey || '/' AS page, 0 AS n_resources FROM part
        UNION ALL SELECT 'geonode', p_partkey, 'geo:l' || p_partkey, '', 'https://b.example/geoserver/wfs?service=WFS&version=2.0.0&request=GetFeature&typeNames=geo%3Al' || p_partkey
-         || '&outputFormat=application%2Fjson&count=600&srsName=EPSG%3A4326', 'https://b.example/', 0 FROM part
+         || '&outputFormat=application%2Fjson&srsName=EPSG%3A4326', 'https://b.example/', 0 FROM part
        UNION ALL SELECT 'ckan', p_partkey, p_name, p_type, NULL, 'https://b.example/', 2 FROM part""",
 )
 def catalog_datasets(spark, sf):
