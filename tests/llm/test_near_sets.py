@@ -61,3 +61,18 @@ def test_stage_drops_near_copies_that_lie_beyond_three_bits(spark, sf):
     assert any((marks[a] ^ marks[b]).bit_count() > 3 for a, b in pairs)
     out = cp.near_copies(spark, spark.createDataFrame([r[1:] for r in rows], "doc_id long, text string"), sf)
     assert {r.doc_id for r in out.collect()} == firsts(rows)
+
+
+def test_stage_keeps_exactly_one_row_of_each_group(spark, sf):
+    t = "grave marker near the old chapel wall"
+    rows = [(5, t, "a"), (5, t, "b"), (None, t, "c"), (None, "another text with some words in it", "d"), (None, "another text with some words in it", "e"), (5, "a third text under the same id", "f")]
+    out = cp.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), sf).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(5, t), (5, rows[5][1]), (0, rows[3][1])])
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, tmp_path):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(5, f"see {item} here"), (5, "clean text"), (None, item), (None, "clean text"), (None, None), (7, f"x {item}"), (8, "clean text")]
+    out = cp.benchmark_free(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, ""), (0, "clean text"), (5, "clean text"), (8, "clean text")]
