@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    align,
     bpe,
     class_lm,
     decontaminate,
@@ -38,10 +39,10 @@ def as_records(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("row_ord"), F.col("text").alias("desc"), "lang", "source")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def back(df: DataFrame) -> DataFrame:
@@ -164,3 +165,8 @@ def op5_quality_classifier(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("row_ord"), "quality")
     news = records(spark, sf).select("row_ord", F.col("desc").alias("snippet"), "lang")
     return back(quality_classifier.classify_news(news, labels))
+
+
+@query
+def op11_token_alignment(spark, sf):
+    return back(align.align_records(records(spark, sf), vocabulary(), vocabulary("piece_bpe_32k.model")))
