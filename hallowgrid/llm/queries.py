@@ -12,6 +12,7 @@ from . import (
     bpe,
     class_lm,
     decontaminate,
+    merkle,
     near_dup,
     pii,
     quality_classifier,
@@ -170,3 +171,70 @@ def op5_quality_classifier(spark, sf):
 @query
 def op11_token_alignment(spark, sf):
     return back(align.align_records(records(spark, sf), vocabulary(), vocabulary("piece_bpe_32k.model")))
+
+
+#: Levels that the SQL below spells out: 8^8 rows of a language, 8^3 languages.
+LEVELS, SHELF_LEVELS = 8, 3
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    news = docs.select(F.col("doc_id").alias("row_ord"), F.col("source").alias("name"), "lang", F.col("n_chars").alias("sig"), F.col("text").alias("snippet"))
+    third = F.crc32(F.col("row_ord").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("snippet", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    told = merkle.news_manifest(news, received={"snippet": F.when(third, lower).otherwise(F.col("snippet"))})
+    return back(told.drop("path"))
+
+
+def _manifest_sql() -> str:
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+    def digest(text: str) -> str:
+        return f"sha256({' || '.join(map(field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+    def levels(t: str, n: int) -> str:
+        return ",\n".join(
+            f"""{t}r{k} AS (SELECT tree, pos // 8 AS run, list(hash ORDER BY pos) AS kids, any_value(size) AS size FROM {t}{k} GROUP BY ALL),
+    {t}{k + 1} AS (SELECT tree, run AS pos, (size + 7) // 8 AS size,
+                 CASE WHEN size = 1 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS hash FROM {t}r{k})"""
+            for k in range(n)
+        )
+
+    def folds(f: str, t: str, n: int, on: str, pos: str) -> str:
+        """Steps that fold one level each into ``folded`` and ``proof``."""
+        out = []
+        for k in range(n):
+            at = f"(({pos} // {8**k}) % 8)"
+            left, right = f"array_to_string(r.kids[1:{at}], '')", f"array_to_string(r.kids[{at} + 2:], '')"
+            out.append(
+                f"""{f}{k + 1} AS (SELECT f.* REPLACE (CASE WHEN r.size > 1 THEN sha256({left} || folded || {right}) ELSE folded END AS folded,
+                 CASE WHEN r.size > 1 THEN proof || {left} || {right} ELSE proof END AS proof)
+            FROM {f}{k} f JOIN {t}r{k} r ON r.tree = {on} AND r.run = {pos} // {8 ** (k + 1)})"""
+            )
+        return ",\n".join(out)
+
+    bit = "CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END"
+    byte = f"list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {bit})"
+    letters = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda c, x: {byte}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH d AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN {lower} ELSE text END AS told FROM documents),
+    l AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {digest("text")} AS leaf, {digest("told")} AS folded FROM d),
+    p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS size FROM l),
+    t0 AS (SELECT tree, pos, size, leaf AS hash FROM p),
+    {levels("t", LEVELS)},
+    u0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS size, hash, tree AS shelf FROM t{LEVELS}),
+    {levels("u", SHELF_LEVELS)},
+    f0 AS (SELECT p.*, '' AS proof, u0.pos AS upos, u0.hash AS subroot FROM p JOIN u0 ON p.tree = u0.shelf),
+    {folds("f", "t", LEVELS, "f.tree", "f.pos")},
+    g0 AS (SELECT * FROM f{LEVELS}),
+    {folds("g", "u", SHELF_LEVELS, "''", "f.upos")}
+    SELECT doc_id, leaf, subroot, u{SHELF_LEVELS}.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+           folded = u{SHELF_LEVELS}.hash AS verified
+    FROM g{SHELF_LEVELS}, u{SHELF_LEVELS}"""
+
+
+ORACLES["op12_merkle_manifest"] = _manifest_sql()
