@@ -12,6 +12,7 @@ from . import (
     bpe,
     class_lm,
     decontaminate,
+    language,
     merkle,
     near_dup,
     pii,
@@ -238,3 +239,8 @@ def _manifest_sql() -> str:
 
 
 ORACLES["op12_merkle_manifest"] = _manifest_sql()
+
+
+@query
+def op13_language_id(spark, sf):
+    return back(language.news_languages(records(spark, sf).select("row_ord", F.col("desc").alias("snippet"), "lang")))
