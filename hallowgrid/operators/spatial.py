@@ -181,97 +181,6 @@ def nearest_within(
     )
 
 
-# --- D1, D2: polygons ----------------------------------------------------------------
-def polygon_edges(units: DataFrame, rings: str = "rings", cell: float = 1.0) -> DataFrame:
-    """Units cut into latitude bands: per band its cells and only the edges crossing it.
-
-    ``rings`` is ``array<array<struct<lat,lng>>>`` with outer rings and holes alike; a
-    point is inside when a ray crosses an odd number of edges, which honours holes.
-    Units across 180 degrees are unwrapped first; their columns count modulo 360, and
-    ``x0`` is the unit's western end, from which points count their longitude.
-    """
-    units = units.withColumn(rings, geo.unwrap_rings(F.col(rings)))
-    edges = F.flatten(
-        F.transform(
-            rings,
-            lambda ring: F.zip_with(
-                ring,
-                F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)),
-                lambda a, b: F.struct(
-                    a["lat"].alias("y1"), a["lng"].alias("x1"), b["lat"].alias("y2"), b["lng"].alias("x2")
-                ),
-            ),
-        )
-    )
-    keep = [c for c in units.columns if c != rings]
-    flat = units.select(*keep, edges.alias("edges")).filter(F.size("edges") > 0)
-    boxed = flat.select(
-        "*",
-        F.array_min(F.transform("edges", lambda e: e["y1"])).alias("y0"),
-        F.array_max(F.transform("edges", lambda e: e["y1"])).alias("y9"),
-        F.array_min(F.transform("edges", lambda e: e["x1"])).alias("x0"),
-        F.array_max(F.transform("edges", lambda e: e["x1"])).alias("x9"),
-    )
-    banded = boxed.select("*", F.explode(F.sequence(_row(F.col("y0"), cell), _row(F.col("y9"), cell))).alias("prow"))
-    lo, hi = F.col("prow") * F.lit(cell), (F.col("prow") + 1) * F.lit(cell)
-    crossing = F.filter(
-        "edges", lambda e: (F.least(e["y1"], e["y2"]) <= hi) & (F.greatest(e["y1"], e["y2"]) >= lo)
-    )
-    # Only columns up to the easternmost crossing edge can hold inside points.
-    return (
-        banded.withColumn("edges", crossing)
-        .filter(F.size("edges") > 0)
-        .select(
-            *keep,
-            "edges",
-            "prow",
-            F.col("x0").alias("__x0"),
-            F.explode(F.sequence(_row(F.col("x0"), cell), _row(F.least(F.col("x9"), F.col("x0") + 360 - cell), cell))).alias("pcol"),
-        )
-        .withColumn("pcol", F.pmod("pcol", F.lit(_turn(cell))))
-    )
-
-
-def _turn(cell: float) -> int:
-    """Columns of a full turn; ``cell`` divides 360."""
-    n = round(360.0 / cell)
-    if abs(n * cell - 360.0) > 1e-9:
-        raise ValueError("cell must divide 360 degrees")
-    return n
-
-
-def crossings_odd(lat: Column, lng: Column, edges: Column) -> Column:
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        x = (e["x2"] - e["x1"]) * (lat - e["y1"]) / F.when(e["y2"] != e["y1"], e["y2"] - e["y1"]) + e["x1"]
-        return spans & F.coalesce(lng < x, F.lit(False))
-
-    return F.size(F.filter(edges, crosses)) % 2 == 1
-
-
-def within_units(points: DataFrame, units: DataFrame, rings: str = "rings", cell: float = 1.0) -> DataFrame:
-    """Points joined to every unit whose polygon contains them (holes excluded)."""
-    cut = polygon_edges(units, rings, cell)
-    p = points.withColumns({"prow": _row(F.col("lat"), cell), "pcol": F.pmod(_row(F.col("lng"), cell), F.lit(_turn(cell)))})
-    # The longitude on the unit's side; unchanged where it lies there already.
-    x0, x = F.col("__x0"), F.col("lng")
-    side = x + F.ceil((x0 - x) / 360.0) * 360.0
-    return (
-        p.join(cut, ["prow", "pcol"])
-        .filter(crossings_odd(F.col("lat"), F.when((x >= x0) & (x < x0 + 360), x).otherwise(side), F.col("edges")))
-        .drop("prow", "pcol", "edges", "__x0")
-    )
-
-
-def child_units(parents: DataFrame, units: DataFrame, rings: str = "rings", cell: float = 1.0) -> DataFrame:
-    """Units whose vertex mean falls inside a parent; ``parents`` has ``parent`` and rings."""
-    centre = geo.vertex_mean(F.flatten(geo.unwrap_rings(F.col(rings))))
-    spots = units.withColumn("__c", centre).select(
-        *[c for c in units.columns if c != rings], F.col("__c.lat").alias("lat"), F.col("__c.lng").alias("lng")
-    )
-    return within_units(spots, parents, rings, cell)
-
-
 def metres_literal(lat1: float, lng1: float, lat2: float, lng2: float) -> float:
     """Scalar twin of ``geo.metres`` for brute-force checks."""
     d = lng2 - lng1

@@ -8,6 +8,7 @@ from ...session import small_table
 from ... import vocab
 from ...functions import scalar
 from ...operators import joins, service, spatial
+from ...operators import units as units_
 from .base import (
     CITIES, Q_STATES, STATE_CODES, STATE_NAMES, documents, lat, lng, pick, q_case, q_lat, q_lng, q_pick, query, quoted, table,
 )
@@ -199,7 +200,7 @@ _Q_UNITS = f"(SELECT s_name AS unit, floor({q_lat('s_suppkey')}) + 0.5 AS uy, fl
 def points_in_units(spark, sf):
     c = F.col("c_custkey")
     pts = table(spark, sf, "customer").select("c_custkey", lat(c).alias("lat"), lng(c).alias("lng"))
-    out = spatial.within_units(pts, _square_units(spark, sf))
+    out = units_.within_units(pts, _square_units(spark, sf))
     return out.groupBy("unit").agg(F.count(lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
 
 
@@ -212,7 +213,7 @@ def child_units(spark, sf):
     c = F.col("c_custkey")
     ring = F.array(*[F.struct((lat(c) + a).alias("lat"), (lng(c) + b).alias("lng")) for a, b in ((0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5))])
     kids = table(spark, sf, "customer").select(c.alias("child"), F.array(ring).alias("rings"))
-    return spatial.child_units(_square_units(spark, sf).withColumnRenamed("unit", "parent"), kids).select("parent", "child")
+    return units_.child_units(_square_units(spark, sf).withColumnRenamed("unit", "parent"), kids).select("parent", "child")
 
 
 _AX = f"(CASE WHEN s_suppkey % 2 = 0 THEN 179.5 ELSE -179.5 END)"
@@ -248,10 +249,10 @@ def units_across_180(spark, sf):
     parts = F.when(x > 0, F.array(ring(lit(-2.25), lit(0.5)), ring(lit(0.5), lit(2.25)))).otherwise(F.array(ring(lit(-2.25), lit(2.25))))
     units = table(spark, sf, "supplier").select(F.col("s_name").alias("unit"), parts.alias("rings"))
     spots = table(spark, sf, "customer").select("c_custkey", lat(c).alias("lat"), _far_lng(c).alias("lng"))
-    inside = spatial.within_units(spots, units).select(lit("points").alias("what"), "unit", "c_custkey")
+    inside = units_.within_units(spots, units).select(lit("points").alias("what"), "unit", "c_custkey")
     wrap = lambda v: F.when(v > 180, v - 360).when(v < -180, v + 360).otherwise(v)
     box = F.array(*[F.struct((F.col("lat") + a).alias("lat"), wrap(F.col("lng") + b).alias("lng")) for a, b in ((-0.1, -0.1), (0.1, -0.1), (0.1, 0.1), (-0.1, 0.1))])
-    kids = spatial.child_units(units, spots.select("c_custkey", F.array(box).alias("rings"))).select(lit("children").alias("what"), "unit", "c_custkey")
+    kids = units_.child_units(units, spots.select("c_custkey", F.array(box).alias("rings"))).select(lit("children").alias("what"), "unit", "c_custkey")
     return inside.unionByName(kids).groupBy("what", "unit").agg(F.count(lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hallowgrid import vocab
 from hallowgrid.functions import geo, text
-from hallowgrid.operators import dedup, gate, grid, merge, spatial
+from hallowgrid.operators import dedup, gate, grid, merge, spatial, units
 from hallowgrid.session import shared_dir
 from hallowgrid.streaming import wire
 
@@ -116,9 +116,9 @@ def test_polygon_holes_and_multipart(spark):
     def ring(y, x, r):
         return [(y - r, x - r), (y - r, x + r), (y + r, x + r), (y + r, x - r)]
 
-    units = spark.createDataFrame([("u", [ring(10.0, 10.0, 5.0), ring(10.0, 10.0, 2.0), ring(30.0, 10.0, 1.0)])], "unit string, rings array<array<struct<lat:double,lng:double>>>")
+    shapes = spark.createDataFrame([("u", [ring(10.0, 10.0, 5.0), ring(10.0, 10.0, 2.0), ring(30.0, 10.0, 1.0)])], "unit string, rings array<array<struct<lat:double,lng:double>>>")
     pts = spark.createDataFrame([("in", 6.0, 6.0), ("hole", 10.5, 10.5), ("part", 30.2, 9.5), ("out", 20.0, 10.0), ("bbox", 25.0, 14.0)], "p string, lat double, lng double")
-    assert sorted(r.p for r in spatial.within_units(pts, units).collect()) == ["in", "part"]
+    assert sorted(r.p for r in units.within_units(pts, shapes).collect()) == ["in", "part"]
 
 
 def test_alternation_equals_containment(spark):
