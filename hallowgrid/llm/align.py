@@ -175,6 +175,8 @@ class Pair:
         self.a_sizes = np.array([len(w) for w in self.a_bytes])
         self.b_sizes = np.array([len(w) for w in self.b_bytes])
         self.blank = self.b.piece_to_id(MARK)
+        #: Each id as text with the mark that follows it: within a group, after its A tokens, after its B tokens.
+        self.labels = [f"{i}{m}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for m in ",|;"]
         self.fast = self._ranked(json.loads(byte_level))
         self.written, self.most = written, most
         self._forget()
@@ -203,6 +205,18 @@ class Pair:
         self.counts = np.empty((0, 4), np.int64)
         self.links = Csr(np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
 
+    def _keep(self, units: set[str]) -> None:
+        """Forget all other units."""
+        units = [u for u in units if self.seen[u] >= 0]
+        own = np.fromiter(map(self.seen.__getitem__, units), np.int64, len(units))
+        texts, counts, links = self.texts, self.counts, self.links
+        self._forget()
+        widths = np.diff(links.ptr)[own]
+        at = _spread(links.ptr[own], widths)
+        self.seen = dict(zip(units, range(len(units))))
+        self.texts = list(map(texts.__getitem__, own.tolist())) if self.written else []
+        self.counts, self.links = counts[own], Csr(np.r_[0, np.cumsum(widths)], links.cols[at], links.vals[at])
+
     def units(self, text: str | None) -> list[str]:
         """A space and the text, cut into units; none for a null or empty text."""
         if not text:
@@ -275,10 +289,9 @@ class Pair:
 
     def _texts(self, a, ga, b, gb, sizes) -> list[str]:
         """The groups of each unit: all tokens in the order of the groups, A before B, each with the mark that follows it."""
-        mark_a = np.where(np.r_[ga[1:] != ga[:-1], True], "|", ",")
-        mark_b = np.where(np.r_[gb[1:] != gb[:-1], True], ";", ",")
+        ends_a, ends_b = (np.r_[g[1:] != g[:-1], True].astype(np.int64) for g in (ga, gb))
         order = np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")
-        parts = [f"{i}{m}" for i, m in zip(np.r_[a, b][order].tolist(), np.r_[mark_a, mark_b][order].tolist())]
+        parts = list(map(self.labels.__getitem__, np.r_[3 * a + ends_a, 3 * b + 2 * ends_b][order].tolist()))
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))[np.cumsum(sizes) - 1].tolist()
         whole = "".join(parts)
         return [whole[i : k - 1] for i, k in zip([0, *ends[:-1]], ends)]
@@ -286,10 +299,9 @@ class Pair:
     def block(self, texts: list[str | None]) -> Block:
         found = [self.units(t) for t in texts]
         wanted = set().union(*found)
+        if len(self.seen) + len(wanted.difference(self.seen)) > self.most:
+            self._keep(wanted.intersection(self.seen))
         new = list(wanted.difference(self.seen))
-        if len(self.seen) + len(new) > self.most:
-            self._forget()
-            new = list(wanted)
         for k in range(0, len(new), 100_000):
             self.learn(new[k : k + 100_000])
         return Block(self, found)
