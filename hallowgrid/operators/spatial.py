@@ -14,6 +14,7 @@ _SUB = 16  # bins per cell side: a cell of 2 radii gives bins of radius / 8
 _LEVELS = 5  # times a crowded bin is split again, by _SPLIT each way
 _SPLIT = 4
 _CROWD = 32  # distinct points of a bin that are measured one by one
+_FEW = 512  # points of a cell, up to which all are measured one by one
 
 
 def _row(lat: Column, cell: float) -> Column:
@@ -31,21 +32,25 @@ def _column(lng: Column, n: Column) -> Column:
     return F.floor((lng + 180.0) / (F.lit(360.0) / n)).cast("int")
 
 
-def _located(points: DataFrame, name: str, cell: float) -> DataFrame:
-    """Distinct points with their cell (``row``, ``col``) and the finest bin (``fi``, ``fj``); the lowest name of each."""
-    fine = _SUB * _SPLIT**_LEVELS
+def _celled(points: DataFrame, name: str, cell: float) -> DataFrame:
+    """Points with their cell (``row``, ``col``) and the number of columns on its row."""
     p = points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
     p = p.select("lat", "lng", F.col(name).alias("near_name"), _row(F.col("lat"), cell).alias("row"))
     p = p.withColumn("__n", _columns(F.col("row"), cell))
-    n = F.col("__n")
-    p = p.select(
+    return p.withColumn("col", F.pmod(_column(F.col("lng"), F.col("__n")), F.col("__n")))
+
+
+def _located(celled: DataFrame, cell: float) -> DataFrame:
+    """Distinct points with their cell and the finest bin (``fi``, ``fj``); the lowest name of each."""
+    fine = _SUB * _SPLIT**_LEVELS
+    p = celled.select(
         "lat",
         "lng",
         "near_name",
         "row",
-        F.pmod(_column(F.col("lng"), n), n).alias("col"),
+        "col",
         F.floor(F.col("lat") / F.lit(cell / fine)).alias("fi"),
-        F.floor((F.col("lng") + 180.0) / (F.lit(360.0 / fine) / n.cast("double"))).alias("fj"),
+        F.floor((F.col("lng") + 180.0) / (F.lit(360.0 / fine) / F.col("__n").cast("double"))).alias("fj"),
     )
     return p.groupBy("row", "col", "fi", "fj", "lat", "lng").agg(F.min("near_name").alias("near_name"))
 
@@ -123,6 +128,34 @@ def _reached_cells(sites: DataFrame, radius_m: float, cell: float) -> DataFrame:
     return each.select("slat", "slng", "row", F.pmod(F.col("__c"), n).alias("col"))
 
 
+def _opened(reached: DataFrame, spots: DataFrame, radius_m: float) -> DataFrame:
+    """Pairs of a site and a point that may be its nearest, where cells are crowded.
+
+    Distinct points are summed up as the bounding boxes of bins an eighth of the radius
+    wide.  A left location meets a bounded number of boxes; the nearest far corner among
+    them bounds its distance, and only boxes nearer than that bound stay open.  Points of
+    open boxes are measured if the box holds few; a crowded box is split four by four, and
+    the same is done with its parts, up to five times.  So a location meets a bounded
+    number of boxes and points however many share its surroundings, and the work grows
+    with the number of locations and points.  Open boxes are written to the shared folder,
+    which tells whether any is crowded.
+    """
+    key = ["row", "col", "bi", "bj"]
+    met = _reach(reached.join(_boxes(spots, 0), ["row", "col"])).withColumn("bound", F.lit(float("inf")))
+    pairs = None
+    for level in range(_LEVELS + 1):
+        open_boxes = reliable_checkpoint(spots.sparkSession, _open(met, radius_m))
+        crowded = F.col("n") > (_CROWD if level < _LEVELS else 1 << 62)
+        near = open_boxes.filter(~crowded).select("slat", "slng", *key).join(spots.select(*spots.columns, *_bin(level)), key)
+        near = near.select("slat", "slng", "lat", "lng", "near_name")
+        pairs = near if pairs is None else pairs.unionByName(near)
+        if open_boxes.filter(crowded).isEmpty():
+            break
+        inner = open_boxes.filter(crowded).select("slat", "slng", "bound", "row", "col", F.col("bi").alias("pi"), F.col("bj").alias("pj"))
+        met = _reach(inner.join(_boxes(spots, level + 1), ["row", "col", "pi", "pj"]))
+    return pairs
+
+
 def nearest_within(
     left: DataFrame,
     points: DataFrame,
@@ -136,44 +169,29 @@ def nearest_within(
     Ties in distance take the lowest name.  Works at every latitude and across the
     antimeridian.
 
-    Plan.  Points collapse to distinct ones and then to the bounding boxes of bins an
-    eighth of the radius wide.  A left location meets, by an equi join on the cell, a
-    bounded number of boxes; the nearest far corner among them bounds its distance, and
-    only boxes nearer than that bound stay open.  Points of open boxes are measured if
-    the box holds few; a crowded box is split four by four, and the same is done with
-    its parts, up to five times.  So a location meets a bounded number of boxes and
-    points however many share its surroundings, and the work grows with the number of
-    locations and points.  Open boxes are written to the shared folder, which tells
-    whether any is crowded.
+    Plan.  A left location meets the cells within its reach, about four, by an equi join.
+    One count of the points by cell comes first.  If no cell holds more than ``_FEW``, all
+    points of a cell are measured: each location meets a bounded number, in one plan that
+    stages nothing.  Else see :func:`_opened`.
     """
     spark = left.sparkSession
     cell = 2.0 * radius_m / geo.METRES_PER_DEG
-    key = ["row", "col", "bi", "bj"]
-    spots = reliable_checkpoint(spark, _located(points, name, cell))
+    celled = _celled(points, name, cell)
     sites = (
         left.select(F.col(lat).cast("double").alias("slat"), F.col(lng).cast("double").alias("slng"))
         .filter(F.col("slat").isNotNull() & F.col("slng").isNotNull())
         .distinct()
     )
-    met = _reach(_reached_cells(sites, radius_m, cell).join(_boxes(spots, 0), ["row", "col"]))
-    met = met.withColumn("bound", F.lit(float("inf")))
-    pairs = None
-    for level in range(_LEVELS + 1):
-        open_boxes = reliable_checkpoint(spark, _open(met, radius_m))
-        crowded = F.col("n") > (_CROWD if level < _LEVELS else 1 << 62)
-        near = open_boxes.filter(~crowded).select("slat", "slng", *key).join(spots.select(*spots.columns, *_bin(level)), key)
-        near = near.select("slat", "slng", "lat", "lng", "near_name")
-        pairs = near if pairs is None else pairs.unionByName(near)
-        if open_boxes.filter(crowded).isEmpty():
-            break
-        inner = open_boxes.filter(crowded).select("slat", "slng", "bound", "row", "col", F.col("bi").alias("pi"), F.col("bj").alias("pj"))
-        met = _reach(inner.join(_boxes(spots, level + 1), ["row", "col", "pi", "pj"]))
+    reached = _reached_cells(sites, radius_m, cell)
+    most = celled.groupBy("row", "col").count().agg(F.max("count")).first()[0]
+    if (most or 0) <= _FEW:
+        pairs = reached.join(celled.drop("__n"), ["row", "col"])
+    else:
+        pairs = _opened(reached, reliable_checkpoint(spark, _located(celled, cell)), radius_m)
     s, t = F.col("slat"), F.col("slng")
-    nearest = (
-        pairs.groupBy("slat", "slng")
-        .agg(F.min(F.struct(geo.metres(s, t, F.col("lat"), F.col("lng")).alias("d"), F.col("near_name"))).alias("best"))
-        .filter(F.col("best.d") <= radius_m)
-    )
+    far = geo.metres(s, t, F.col("lat"), F.col("lng")).alias("d")
+    near = pairs.select("slat", "slng", far, "near_name").filter(F.col("d") <= radius_m)
+    nearest = near.groupBy("slat", "slng").agg(F.min(F.struct("d", "near_name")).alias("best"))
     return (
         left.withColumns({"slat": F.col(lat).cast("double"), "slng": F.col(lng).cast("double")})
         .join(nearest, ["slat", "slng"])
