@@ -42,10 +42,7 @@ def merge_parts(parts: DataFrame, prior: DataFrame, federation) -> DataFrame:
     federation rows stay.  Decided inside the plan, without counting first."""
     prior = behind(prior)
     fed = F.coalesce(F.col("source").isin(*federation), F.lit(False))
-    kept_fed = prior.filter(fed & ~parts.limit(1).exists())
-    return parts.unionByName(kept_fed, allowMissingColumns=True).unionByName(
-        prior.filter(~fed), allowMissingColumns=True
-    )
+    return parts.unionByName(prior.filter(~fed | ~parts.limit(1).exists()), allowMissingColumns=True)
 
 
 def union_states(frames) -> DataFrame:

@@ -30,12 +30,13 @@ def state_centroids(spark, sf):
 
 @query(
     "J1",
-    """SELECT s_suppkey, coalesce(n_name, 'nowhere') AS n_name, n_regionkey FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0)
-       ON n_nationkey = s_nationkey""",
+    """SELECT s_suppkey, coalesce(n_name, 'nowhere') AS n_name, n_regionkey FROM supplier LEFT JOIN nation
+       ON n_nationkey = s_nationkey + CASE WHEN s_nationkey % 2 = 0 THEN 0 ELSE 100 END""",
 )
 def dimension_lookup(spark, sf):
-    s = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-    n = table(spark, sf, "nation").filter("n_nationkey % 2 = 0")
+    key = F.col("s_nationkey")
+    s = table(spark, sf, "supplier").select("s_suppkey", (key + F.when(key % 2 == 0, 0).otherwise(100)).alias("n_nationkey"))
+    n = table(spark, sf, "nation")
     return joins.lookup_join(s, n, "n_nationkey", ["n_name", "n_regionkey"], {"n_name": "nowhere"}).drop("n_nationkey")
 
 
@@ -44,16 +45,16 @@ _PLACE = f"lower({q_pick(CITIES, 'o_custkey')} || ', ' || {q_pick(STATE_NAMES, '
 
 @query(
     "J2",
-    f"""WITH g AS (SELECT lower({q_pick(CITIES, "c_custkey")} || ', ' || {q_pick(STATE_NAMES, "c_custkey")}) AS q, min({q_lat("c_custkey")}) AS lat, min({q_lng("c_custkey")}) AS lng
-          FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
+    f"""WITH g AS (SELECT lower({q_pick(CITIES, "c_custkey")} || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ' Falls' END || ', ' || {q_pick(STATE_NAMES, "c_custkey")}) AS q, min({q_lat("c_custkey")}) AS lat, min({q_lng("c_custkey")}) AS lng
+          FROM customer GROUP BY 1)
         SELECT o_orderkey, g.q IS NOT NULL AS hit, coalesce(g.lat, st.slat) AS lat, coalesce(g.lng, st.slng) AS lng
         FROM orders LEFT JOIN g ON g.q = {_PLACE} AND o_orderkey % 4 > 0 LEFT JOIN {Q_STATES} ON st.state = {q_pick(STATE_NAMES, "o_custkey")}""",
 )
 def place_lookup(spark, sf):
     c = F.col("c_custkey")
     g = (
-        table(spark, sf, "customer").filter("c_custkey % 3 = 0")
-        .groupBy(F.concat(pick(CITIES, c), lit(", "), pick(STATE_NAMES, c)).alias("q"))
+        table(spark, sf, "customer")
+        .groupBy(F.concat(pick(CITIES, c), F.when(c % 3 == 0, "").otherwise(" Falls"), lit(", "), pick(STATE_NAMES, c)).alias("q"))
         .agg(F.min(lat(c)).alias("lat"), F.min(lng(c)).alias("lng"))
     )
     o = F.col("o_custkey")
@@ -165,14 +166,14 @@ def silent_sources(spark, sf):
     "J10",
     f"""WITH r(source, reason) AS (VALUES {", ".join(f"({quoted(s)}, {quoted(w) if w else 'NULL'})" for s, w in vocab.ROSTER)}),
         o AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS i, reason FROM r),
-        c AS (SELECT c_nationkey AS i, count(*) AS n FROM customer WHERE c_nationkey % 3 = 0 GROUP BY 1)
+        c AS (SELECT CASE WHEN c_nationkey % 3 = 0 THEN c_nationkey ELSE -1 - c_nationkey END AS i, count(*) AS n FROM customer GROUP BY 1)
         SELECT o.source, CASE WHEN o.source = 'courtlistener' THEN 'unexpected' ELSE coalesce(reason, 'unexpected') END AS triage FROM o LEFT JOIN c USING (i) WHERE coalesce(n, 0) = 0""",
 )
 def zero_yield_triage(spark, sf):
     names = sorted(s for s, _ in vocab.ROSTER)
     i = F.col("c_nationkey")
-    known = table(spark, sf, "customer").filter((i % 3 == 0) & (i < len(names)))
-    counts = known.groupBy(F.element_at(F.array(*[lit(n) for n in names]), i + 1).alias("source")).agg(F.count(lit(1)).alias("n"))
+    known = F.when((i % 3 == 0) & (i < len(names)), F.get(F.array(*[lit(n) for n in names]), i)).otherwise(F.concat(lit("other "), i.cast("string")))
+    counts = table(spark, sf, "customer").groupBy(known.alias("source")).agg(F.count(lit(1)).alias("n"))
     roster = small_table(spark, list(vocab.ROSTER), "source string, reason string")
     return joins.zero_triage(roster, counts, small_table(spark, [("courtlistener",)], "source string"))
 

@@ -92,17 +92,25 @@ def notice_table(spark, sf):
     )
 
 
+def _elsewhere(c):
+    """Four in five gazetteer names are of places that no record names."""
+    return F.when(c % 5 == 0, "").otherwise(" Falls")
+
+
+_Q_ELSEWHERE = "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE ' Falls' END"
+
+
 def city_gazetteer(spark, sf):
     c = F.col("c_custkey")
     return (
-        table(spark, sf, "customer").filter("c_custkey % 5 = 0")
-        .groupBy(F.concat(pick(CITIES, c), lit(", "), pick(STATE_NAMES, c)).alias("q"))
+        table(spark, sf, "customer")
+        .groupBy(F.concat(pick(CITIES, c), _elsewhere(c), lit(", "), pick(STATE_NAMES, c)).alias("q"))
         .agg(F.min(lat(c)).alias("lat"), F.min(lng(c)).alias("lng"))
     )
 
 
-_Q_GAZ = f"""g AS (SELECT {q_pick(CITIES, "c_custkey")} || ', ' || {q_pick(STATE_NAMES, "c_custkey")} AS q, min({q_lat("c_custkey")}) AS glat, min({q_lng("c_custkey")}) AS glng
-          FROM customer WHERE c_custkey % 5 = 0 GROUP BY 1)"""
+_Q_GAZ = f"""g AS (SELECT {q_pick(CITIES, "c_custkey")} || {_Q_ELSEWHERE} || ', ' || {q_pick(STATE_NAMES, "c_custkey")} AS q, min({q_lat("c_custkey")}) AS glat, min({q_lng("c_custkey")}) AS glng
+          FROM customer GROUP BY 1)"""
 
 
 @query(
@@ -200,7 +208,7 @@ def normalise_permits(spark, sf):
 def normalise_filings(spark, sf):
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     g = (
-        table(spark, sf, "customer").filter("c_custkey % 5 = 0").groupBy(F.concat(pick(CITIES, F.col("c_custkey")), lit(" County, California")).alias("q"))
+        table(spark, sf, "customer").groupBy(F.concat(pick(CITIES, F.col("c_custkey")), _elsewhere(F.col("c_custkey")), lit(" County, California")).alias("q"))
         .agg(F.min(lat(F.col("c_custkey"))).alias("lat"), F.min(lng(F.col("c_custkey"))).alias("lng"))
     )
     raw = table(spark, sf, "orders").select(
@@ -488,7 +496,7 @@ def holding_pages(spark, sf):
 def normalise_holdings(spark, sf):
     c = F.col("c_custkey")
     g = (
-        table(spark, sf, "customer").filter("c_custkey % 5 = 0").groupBy(F.concat(pick(CITIES, c), lit(" Museum, "), pick(STATE_NAMES, c)).alias("q"))
+        table(spark, sf, "customer").groupBy(F.concat(pick(CITIES, c), _elsewhere(c), lit(" Museum, "), pick(STATE_NAMES, c)).alias("q"))
         .agg(F.min(lat(c)).alias("lat"), F.min(lng(c)).alias("lng"))
     )
     out = normalise.holdings(holding_pages(spark, sf), g)
