@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -37,10 +37,10 @@ def place(
     )
 
 
-def audit(df: DataFrame, kinds: dict | None = None, step: float = 0.05, metric: str | None = None) -> DataFrame:
+def audit(df: DataFrame, kinds: dict | None = None, step: float = 0.05, metric: str | Observation | None = None) -> DataFrame:
     """Re-apply the gate to finished records; idempotent.
 
-    With ``metric`` the number of repairs is observed in the same pass under that name.
+    With ``metric`` (a name or an observation) the number of repairs is observed in the same pass.
     """
     slipped = must_coarsen(F.col("kind"), kinds) & F.coalesce(F.col("geo").isin("exact", "area"), F.lit(False))
     if metric:
@@ -60,7 +60,7 @@ def label_individual_cases(
     kinds: dict | None = None,
     single=vocab.SINGLE_CASE,
     group=vocab.GROUP_HINT,
-    metric: str | None = None,
+    metric: str | Observation | None = None,
 ) -> DataFrame:
     """Give single-person cases their own kind; optionally drop them."""
     kinds = kinds or vocab.KINDS

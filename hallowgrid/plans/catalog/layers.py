@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import grid
-from ...schema import Config
+from ...schema import RECORD, Config, conform
 from ...session import shared_dir, small_table
 from ...sources import scan, sinks
 from .. import refresh
-from .base import Q_PLACED, lat, lng, q_lat, q_lng, query, table
+from .base import COARSE_KINDS, KIND_NAMES, Q_PLACED, lat, lng, pick, q_in, q_lat, q_lng, q_pick, query, table
 from .records import Q_FACILITIES, facility_elements, normalise, placed_records
 
 lit = F.lit
@@ -126,6 +126,36 @@ def publish_guards(spark, sf):
     return log.unionByName(last)
 
 
+_CASES = ["Cold case reopened", "Missing person near a mass grave", "Survey"]
+
+
+@query(
+    "A8, GA2, GA3",
+    f"""WITH o AS (SELECT o_orderkey, {q_pick(KIND_NAMES, "o_custkey")} AS k, {q_pick(["exact", "area", "admin"], "o_orderkey")} AS g, o_orderkey % 11 > 0 AS placed,
+            {q_pick(_CASES, "o_orderkey")} = 'Cold case reopened' AS single FROM orders),
+        d AS (SELECT *, CASE WHEN single AND k IN ('mass-grave', 'discovery') THEN 'forensic-case' ELSE k END AS kind FROM o)
+        SELECT job, name, CAST(n AS BIGINT) AS n FROM (
+          SELECT 'records' AS job, 'read' AS name, count(*) AS n FROM d UNION ALL SELECT 'records', 'unplaced', count(*) FROM d WHERE NOT placed
+          UNION ALL SELECT 'records', 'tagged', count(*) FROM d WHERE placed AND single
+          UNION ALL SELECT 'records', 'coarsened', count(*) FROM d WHERE placed AND kind IN {q_in(COARSE_KINDS)} AND g <> 'admin'
+          UNION ALL SELECT 'facilities', 'read', count(*) FROM orders UNION ALL SELECT 'facilities', 'refused', count(*) FROM orders WHERE o_orderkey % 5 = 0 AND o_custkey % 4 > 0)""",
+)
+def job_counters(spark, sf):
+    """Counts of the record and the facility job, as stored with the versions they published."""
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    records = table(spark, sf, "orders").select(
+        F.concat(lit("Record "), o.cast("string")).alias("name"), pick(KIND_NAMES, c).alias("kind"), pick(["exact", "area", "admin"], o).alias("geo"),
+        F.when(o % 11 > 0, lat(c)).alias("lat"), lng(c).alias("lng"), pick(_CASES, o).alias("desc"), F.col("o_orderpriority").alias("source"), lit(0).alias("source_ord"), o.alias("row_ord"),
+    )
+    jobs = {"records": lambda p: refresh.publish_daily(spark, conform(records, RECORD), p), "facilities": lambda p: refresh.facility_layer(facility_elements(spark, sf), p)}
+    found = []
+    for job, run in jobs.items():
+        path = shared_dir(spark)
+        version = run(path).path.rsplit("/", 1)[-1]
+        found.append(spark.read.schema("name string, n long").json(f"{path}/_counts/{version}").select(lit(job).alias("job"), "name", "n"))
+    return found[0].unionByName(found[1])
+
+
 @query(
     "K4, G4, SC10, D8, W2",
     f"""WITH {Q_FACILITIES}, r AS (SELECT *, row_number() OVER (PARTITION BY ftype, CAST(floor(lat * 10000 + 0.5) AS BIGINT), CAST(floor(lng * 10000 + 0.5) AS BIGINT) ORDER BY row_ord) AS rn FROM fac)

@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint, small_table
 from .. import vocab
+from ..operators.counters import Counters
 from ..operators import dedup, gate, grid, joins, merge, ordering, spatial
 from ..schema import NEWS, Config, conform
 from ..sources import normalise, sinks
 
 
-def finish(records: DataFrame, cfg: Config = Config(), extra_keys=(), metrics: str | None = None) -> DataFrame:
+def finish(records: DataFrame, cfg: Config = Config(), extra_keys=(), counters: Counters | None = None) -> DataFrame:
     """Placed rows -> labelled -> audited -> deduplicated.
 
-    One shuffle in all (the deduplication); everything before it is row-local.
+    One shuffle in all (the deduplication); everything before it is row-local.  ``counters`` get the rows ``read``,
+    the ``unplaced`` ones refused, and those ``tagged`` as single cases and ``coarsened`` by the audit.
     """
-    name = (lambda s: f"{metrics}-{s}") if metrics else (lambda s: None)
+    part = counters.part if counters else (lambda: None)
+    if counters:
+        records = counters.count(records, read=F.lit(True), unplaced=F.col("lat").isNull() | F.col("lng").isNull())
     d = gate.only_placed(records)
-    d = gate.label_individual_cases(d, cfg.exclude_individual_cases, metric=name("label"))
-    d = gate.audit(d, step=cfg.coarse_deg, metric=name("audit"))
+    d = gate.label_individual_cases(d, cfg.exclude_individual_cases, metric=part())
+    d = gate.audit(d, step=cfg.coarse_deg, metric=part())
     return dedup.dedup_records(d, extra_keys)
 
 
@@ -30,6 +34,7 @@ def daily(
     cfg: Config = Config(),
     carry: Column | None = None,
     stage: bool = False,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Fresh records plus carried and preserved prior rows, ready to publish.
 
@@ -38,7 +43,7 @@ def daily(
     a lost executor runs the source plans again.
     """
     keep = F.col("source").isin(*vocab.FEDERATION_SOURCES) if carry is None else carry
-    fresh = finish(records if prior is None else merge.carry_forward(records, prior, keep), cfg)
+    fresh = finish(records if prior is None else merge.carry_forward(records, prior, keep), cfg, counters=counters)
     if prior is None:
         return fresh
     if stage:
@@ -48,20 +53,23 @@ def daily(
 
 def publish_daily(spark: SparkSession, records: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
     prior = sinks.read_published(spark, path)
-    rows = ordering.by_impact(daily(records, prior, cfg, stage=True))
-    return sinks.publish_records(rows, path, cfg.records_thin)
+    counters = Counters()
+    rows = ordering.by_impact(daily(records, prior, cfg, stage=True, counters=counters))
+    return sinks.publish_records(rows, path, cfg.records_thin, counters)
 
 
 def federation_merge(spark: SparkSession, parts: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
     prior = sinks.read_published(spark, path)
     items = parts if prior is None else merge.merge_parts(parts, prior, vocab.FEDERATION_SOURCES)
-    return sinks.publish_records(finish(items, cfg), path, cfg.records_thin)
+    counters = Counters()
+    return sinks.publish_records(finish(items, cfg, counters=counters), path, cfg.records_thin, counters)
 
 
 def facility_layer(elements: DataFrame, path: str, cfg: Config = Config()) -> sinks.Outcome:
-    rows = normalise.facilities(elements, deg=cfg.layer_tile_deg)
+    counters = Counters()
+    rows = normalise.facilities(counters.count(elements, read=F.lit(True)), counters.part(), cfg.layer_tile_deg)
     unique = dedup.dedup_facilities(rows, by=("ftype",))
-    return sinks.publish_layer(unique, path, cfg.facility_ratio, cfg.tile_threshold, cfg.layer_tile_deg)
+    return sinks.publish_layer(unique, path, cfg.facility_ratio, cfg.tile_threshold, cfg.layer_tile_deg, counters)
 
 
 def projects_on_grounds(projects: DataFrame, layer: DataFrame, cfg: Config = Config(), feed: str = "the projects feed") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -651,7 +651,7 @@ def institutions(bindings: DataFrame, classes=vocab.INSTITUTION_CLASSES) -> Data
 
 
 # --- N20: facilities ------------------------------------------------------------------------------------
-def facilities(elements: DataFrame, metric: str | None = None, deg: int = 10) -> DataFrame:
+def facilities(elements: DataFrame, metric: str | Observation | None = None, deg: int = 10) -> DataFrame:
     """Map elements to facility rows, all types in one scan."""
     tags = F.col("tags")
     d = scalar.keep_where(ensure_row_ord(elements), {"ftype": text.facility_type(tags)}, F.col("ftype").isNotNull())

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,12 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions import scalar
 from ..operators import aggregates
+from ..operators.counters import Counters
 from ..operators.grid import with_layer_cell
 from ..operators.joins import not_in
 
-_COMMITS = "version long, n_rows long, data string"
+_COMMITS = "version long, n_rows long, data string, stream string, upto long"
+_COUNTS = "name string, n long"
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,7 @@ class Outcome:
     n_rows: int
     prior_rows: int
     path: str | None
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def current_version(spark: SparkSession, path: str):
@@ -57,6 +60,8 @@ def guarded_publish(
     partition_by=(),
     name: str = "publish",
     describe: Callable[[DataFrame, str], None] | None = None,
+    counters: Counters | None = None,
+    origin: tuple[str, int] | None = None,
 ) -> Outcome:
     """Publish unless the result is empty or suspiciously thin.
 
@@ -64,6 +69,9 @@ def guarded_publish(
     fewer than ``min_ratio`` of what was published before.  Rows are counted by the
     write itself.  ``describe`` gets the rows written and the version's name before the
     version becomes visible, so that readers never see one without its description.
+    Observed ``counters`` are stored with the version and returned.  ``origin`` (a stream
+    and the last of its batches that is in ``df``) is part of the commit, see
+    :func:`committed_upto`.
     """
     spark = df.sparkSession
     prior = current_version(spark, path)
@@ -73,17 +81,29 @@ def guarded_publish(
     seen = Observation(f"{name}-{version}")
     w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{data}")
-    n = seen.get["n"]
+    n, counts = seen.get["n"], counters.values() if counters else {}
     if n == 0:
-        return Outcome(False, "no rows", 0, prior_rows, None)
-    if n < min_rows and prior_rows > n:
-        return Outcome(False, "thin", n, prior_rows, None)
-    if n < prior_rows * min_ratio:
-        return Outcome(False, "thin", n, prior_rows, None)
+        return Outcome(False, "no rows", 0, prior_rows, None, counts)
+    if (n < min_rows and prior_rows > n) or n < prior_rows * min_ratio:
+        return Outcome(False, "thin", n, prior_rows, None, counts)
+    if counts:
+        spark.createDataFrame(list(counts.items()), _COUNTS).coalesce(1).write.mode("overwrite").json(f"{path}/_counts/v={version}")
     if describe:
         describe(spark.read.parquet(f"{path}/{data}"), f"v={version}")
-    spark.createDataFrame([(version, n, data)], _COMMITS).coalesce(1).write.mode("append").json(f"{path}/_versions")
-    return Outcome(True, "ok", n, prior_rows, f"{path}/{data}")
+    spark.createDataFrame([(version, n, data, *(origin or (None, None)))], _COMMITS).coalesce(1).write.mode("append").json(f"{path}/_versions")
+    return Outcome(True, "ok", n, prior_rows, f"{path}/{data}", counts)
+
+
+def committed_upto(spark: SparkSession, path: str, stream: str) -> int:
+    """Last batch of a stream that is part of a committed version; -1 if none is."""
+    try:
+        commits = spark.read.schema(_COMMITS).json(f"{path}/_versions")
+        last = commits.filter(F.col("stream") == stream).agg(F.max("upto")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    return -1 if last is None else last
 
 
 # --- FN24, K1: the record file -------------------------------------------------------------
@@ -103,13 +123,13 @@ def slim(df: DataFrame, desc_chars: int | None = None) -> DataFrame:
     return df.withColumns(out)
 
 
-def publish_records(df: DataFrame, path: str, min_rows: int = 4) -> Outcome:
+def publish_records(df: DataFrame, path: str, min_rows: int = 4, counters: Counters | None = None) -> Outcome:
     """Records behind the guards, and a one-row metadata table for the same version."""
 
     def describe(written: DataFrame, version: str) -> None:
         aggregates.meta_row(written).write.mode("overwrite").parquet(f"{path}/_meta/{version}")
 
-    return guarded_publish(slim(df), path, min_rows=min_rows, name="records", describe=describe)
+    return guarded_publish(slim(df), path, min_rows=min_rows, name="records", describe=describe, counters=counters)
 
 
 def export_json_lines(df: DataFrame, path: str) -> None:
@@ -118,7 +138,7 @@ def export_json_lines(df: DataFrame, path: str) -> None:
 
 
 # --- G4, K4: the facility layer ---------------------------------------------------------------
-def publish_layer(df: DataFrame, path: str, min_ratio: float = 0.6, threshold: int = 40_000, deg: int = 10) -> Outcome:
+def publish_layer(df: DataFrame, path: str, min_ratio: float = 0.6, threshold: int = 40_000, deg: int = 10, counters: Counters | None = None) -> Outcome:
     """Facilities partitioned by type and cell, and their manifest.
 
     Rows are rebalanced by type and cell before the write: adaptive execution splits a
@@ -132,7 +152,7 @@ def publish_layer(df: DataFrame, path: str, min_ratio: float = 0.6, threshold: i
     def describe(written: DataFrame, version: str) -> None:
         aggregates.layer_manifest(written, threshold).write.mode("overwrite").parquet(f"{path}/_manifest/{version}")
 
-    return guarded_publish(spread, path, min_ratio=min_ratio, partition_by=parts, name="layer", describe=describe)
+    return guarded_publish(spread, path, min_ratio=min_ratio, partition_by=parts, name="layer", describe=describe, counters=counters)
 
 
 def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.counters import Counters
 from ..operators.merge import preserve_silent
 from ..session import shared_dir
 from ..sources import normalise, sinks
@@ -77,16 +79,42 @@ def latest_counts(spark: SparkSession, target: str, *dims: str) -> DataFrame:
 
 
 # --- ST4 --------------------------------------------------------------------------------
-_PUBLISHED = "upto long"
+_MARKS = "upto long, n_rows long"
 
 
-def _published_upto(spark: SparkSession, staging: str) -> int:
+def _staged(spark: SparkSession, folder: str, schema) -> DataFrame | None:
     try:
-        return spark.read.schema(_PUBLISHED).json(f"{staging}/published").agg(F.max("upto")).first()[0]
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _handled_upto(spark: SparkSession, staging: str) -> int:
+    """Last batch that a refresh has ended with, published or refused."""
+    try:
+        last = spark.read.schema(_MARKS).json(f"{staging}/handled").agg(F.max("upto")).first()[0]
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return -1
+    return -1 if last is None else last
+
+
+def _mark(spark: SparkSession, staging: str, upto: int, n_rows: int) -> None:
+    spark.createDataFrame([(upto, n_rows)], _MARKS).coalesce(1).write.mode("append").json(f"{staging}/handled")
+
+
+def _drop_staged(spark: SparkSession, staging: str, upto: int) -> None:
+    """Delete the staged batches that a refresh has ended with; each is one folder."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{staging}/rows")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root) if fs.exists(root) else ():
+        name = status.getPath().getName()
+        if name.startswith("b=") and int(name[2:]) <= upto:
+            fs.delete(status.getPath(), True)
 
 
 def stage_available(rows: DataFrame, staging: str, checkpoint: str) -> None:
@@ -101,29 +129,37 @@ def stage_available(rows: DataFrame, staging: str, checkpoint: str) -> None:
 def refresh_available(
     rows: DataFrame, path: str, checkpoint: str, min_rows: int = 4, preserve_min: int = 10
 ) -> sinks.Outcome | None:
-    """Refresh the published records with all that arrived since the last refresh.
+    """Refresh the published records with all that arrived since the last refresh, exactly once.
 
     Batches are only staged; the refresh is published once, when the run has ended, so the
     guards and the silent sources are judged on the whole run and not batch by batch.  What
     a crashed run staged is part of the next one.  Nothing new publishes nothing.
+
+    The commit of a version names the stream and the last batch in it, in the same row that
+    makes it visible.  A run that crashes after that row leaves nothing to do: the next one
+    finds the batches committed and does not publish them again.  A refusal is noted apart.
+    Batches that a refresh has ended with are deleted from staging.  The counts of the
+    outcome are the fresh rows and those kept from silent sources.
     """
-    spark, staging = rows.sparkSession, f"{checkpoint.rstrip('/')}-staging"
+    spark, stream = rows.sparkSession, checkpoint.rstrip("/")
+    staging = f"{stream}-staging"
     stage_available(rows, staging, checkpoint)
-    done = _published_upto(spark, staging)
-    try:
-        staged = spark.read.parquet(f"{staging}/rows")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    last = staged.filter(F.col("b") > done).agg(F.max("b")).first()[0]
+    done = max(_handled_upto(spark, staging), sinks.committed_upto(spark, path, stream))
+    _drop_staged(spark, staging, done)
+    staged = _staged(spark, f"{staging}/rows", StructType([*rows.schema.fields, StructField("b", LongType())]))
+    last = None if staged is None else staged.filter(F.col("b") > done).agg(F.max("b")).first()[0]
     if last is None:
         return None
+    counters = Counters()
     fresh = staged.filter((F.col("b") > done) & (F.col("b") <= last)).drop("b")
     prior = sinks.read_published(spark, path)
-    merged = fresh if prior is None else preserve_silent(fresh, prior, preserve_min)
-    out = sinks.guarded_publish(merged, path, min_rows=min_rows, name=f"refresh-{last}")
-    spark.createDataFrame([(int(last),)], _PUBLISHED).coalesce(1).write.mode("append").json(f"{staging}/published")
+    merged = fresh.withColumn("__fresh", F.lit(True))
+    if prior is not None:
+        merged = preserve_silent(merged, prior.withColumn("__fresh", F.lit(False)), preserve_min)
+    merged = counters.count(merged, fresh=F.col("__fresh"), kept=~F.col("__fresh")).drop("__fresh")
+    out = sinks.guarded_publish(merged, path, min_rows=min_rows, name=f"refresh-{last}", counters=counters, origin=(stream, int(last)))
+    _mark(spark, staging, int(last), out.n_rows)
+    _drop_staged(spark, staging, int(last))
     return out
 
 

@@ -12,6 +12,7 @@ from hallowgrid.schema import RECORD, Config, conform
 from hallowgrid.session import shared_dir
 from hallowgrid.sources import scan, sinks
 from hallowgrid.sources.registry import Registry
+from hallowgrid.streaming import wire
 
 
 @pytest.mark.parametrize("doc", [[{"name": "a", "lat": 1.0}, {"name": "b"}], {"_meta": {"count": 2}, "records": [{"name": "a", "lat": 1.0}, {"name": "b"}]}, {"projects": [{"name": "a", "lat": 1.0}, {"name": "b"}]}])
@@ -79,6 +80,50 @@ def test_publish_is_guarded_and_preserves(spark):
     assert sinks.read_published(spark, path).count() == 17
 
 
+def test_jobs_store_their_counts_with_the_version(spark):
+    path = shared_dir(spark)
+    rows = _records(spark, 20, "a").withColumns({"lat": F.when(F.col("row_ord") > 2, F.col("lat")), "kind": F.lit("mass-grave"), "desc": F.when(F.col("row_ord") > 12, F.lit("Cold case"))})
+    done = refresh.publish_daily(spark, rows, path)
+    assert done.counts == {"read": 20, "unplaced": 3, "tagged": 7, "coarsened": 17}
+    stored = spark.read.json(f"{path}/_counts/{done.path.rsplit('/', 1)[-1]}")
+    assert {r["name"]: r["n"] for r in stored.collect()} == done.counts
+    thin = refresh.federation_merge(spark, rows.limit(2), path)
+    assert thin.counts["read"] >= 2
+
+
+@pytest.mark.parametrize("at", ["_mark", "_drop_staged"])
+def test_a_crash_after_the_commit_publishes_nothing_twice(spark, monkeypatch, at):
+    base = shared_dir(spark)
+    path, checkpoint = f"{base}/out", f"{base}/checkpoint"
+
+    def put(n, source):
+        _records(spark, n, source).write.mode("append").parquet(f"{base}/in")
+        rows = wire.file_stream(spark, f"{base}/in", RECORD)
+        return wire.refresh_available(rows, path, checkpoint)
+
+    assert put(12, "a").counts == {"fresh": 12, "kept": 0}
+    versions = spark.read.json(f"{path}/_versions").count()
+    with monkeypatch.context() as m:
+        real = getattr(wire, at)
+
+        def crash(spark, staging, upto, *rest):
+            if upto > 0:
+                raise RuntimeError("lost")
+            return real(spark, staging, upto, *rest)
+
+        m.setattr(wire, at, crash)
+        with pytest.raises(RuntimeError):
+            put(5, "b")
+    assert sinks.read_published(spark, path).count() == 17
+    # the next run finds the commit: nothing to publish, nothing left in staging
+    rows = wire.file_stream(spark, f"{base}/in", RECORD)
+    assert wire.refresh_available(rows, path, checkpoint) is None
+    assert spark.read.json(f"{path}/_versions").count() == versions + 1
+    assert spark.read.schema(RECORD).parquet(f"{checkpoint}-staging/rows").count() == 0
+    last = put(6, "b")
+    assert last.counts == {"fresh": 6, "kept": 12} and sinks.read_published(spark, path).count() == 18
+
+
 def test_first_publish_refuses_nothing_but_empty(spark):
     path = shared_dir(spark)
     assert not sinks.publish_records(_records(spark, 0), path).written
