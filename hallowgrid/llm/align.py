@@ -139,6 +139,8 @@ def shared_links(a_groups, a_ids, b_groups, b_ids) -> tuple[np.ndarray, np.ndarr
 # --- Texts -----------------------------------------------------------------------------
 #: Blanks other than space and line feed; what one library takes for a blank another may not.
 ODD = re.compile(r"[^\S \n]|[\x1c-\x1f᠎​﻿]")
+#: One of these bytes is in the UTF-8 form of each such character.
+ODD_BYTES = bytes([0x09, *range(0x0B, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF])
 UNITS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: The same, cut only before a space or line feed that follows a character no library takes for a blank.
 ODD_UNITS = re.compile(r"(?s).+?(?:(?<=[^\s\x1c-\x1f᠎​﻿])(?=[ \n])|\Z)")
@@ -224,7 +226,9 @@ class Pair:
         text = " " + text
         if not self.cuts:
             return [text]
-        return (UNITS if ODD.search(text) is None else ODD_UNITS).findall(text)
+        raw = text.encode()
+        odd = len(raw.translate(None, ODD_BYTES)) < len(raw) and ODD.search(text)
+        return (ODD_UNITS if odd else UNITS).findall(text)
 
     def _b_ids(self, units: list[str]) -> list[list[int]]:
         """Pieces of units.  The model puts a space first: it stands for a unit's own one or is dropped again."""
@@ -274,11 +278,7 @@ class Pair:
         last = ga[np.cumsum(n_a) - 1]
         group, left, right, times = shared_links(ga, a, gb, b)
         owner = np.searchsorted(last, group)
-        order = np.lexsort((left << 32 | right, owner))
-        owner, code, times = owner[order], (left << 32 | right)[order], times[order]
-        first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])])
-        owner, code, times = owner[first], code[first], np.add.reduceat(times, first)
-        ptr = np.cumsum(np.bincount(owner, minlength=len(units)))
+        code, ptr = left << 32 | right, np.cumsum(np.bincount(owner, minlength=len(units)))
         n_links = np.add.reduceat(times, np.r_[0, ptr[:-1]])
         known = len(self.counts)
         self.seen.update(zip(units, range(known, known + len(units))))
@@ -321,22 +321,25 @@ class Block:
         #: Numbers of the units of each text, none where it is not spelled by its tokens.
         self.units = np.split(flat, cut[:-1]) if len(found) else []
         self.texts = pair.texts
-        used, at = np.unique(flat, return_inverse=True)
+        known = np.zeros(len(pair.counts), bool)
+        known[flat] = True
+        used, at = np.flatnonzero(known), (np.cumsum(known) - 1)[flat]
         self.counts = pair.counts[used]
         widths = np.diff(pair.links.ptr)[used]
         own = _spread(pair.links.ptr[used], widths)
         #: Pairs of ids linked in this block, as A's id shifted by 32 bits with B's.
         self.pairs, cols = np.unique(pair.links.cols[own], return_inverse=True)
         self.links = Csr(np.r_[0, np.cumsum(widths)], cols, pair.links.vals[own])
-        self.held = Csr.of(owner, at, np.ones(at.size, np.int64), len(found), max(1, used.size))
+        self.owner, self.held = owner, Csr(np.r_[0, cut].astype(np.int64), at, np.ones(at.size, np.int64))
 
     def groups(self, k: int) -> str:
         return ";".join(map(self.texts.__getitem__, self.units[k].tolist()))
 
     def texts_per_pair(self) -> np.ndarray:
         """In how many texts each of ``pairs`` is linked: texts by units times units by pairs, each entry once."""
-        out = np.zeros(self.pairs.size, np.int64)
-        for _, c in products(self.held, self.links, max(1, self.pairs.size)):
+        out, held = np.zeros(self.pairs.size, np.int64), self.held
+        once = Csr.of(self.owner, held.cols, held.vals, held.ptr.size - 1, max(1, len(self.counts)))
+        for _, c in products(once, self.links, max(1, self.pairs.size)):
             out += np.bincount(c.cols, minlength=self.pairs.size)
         return out
 
@@ -344,8 +347,11 @@ class Block:
         """Counts of each text, then its links' sums of the columns of ``by_pair``."""
 
         def summed(rows: Csr, values: np.ndarray) -> np.ndarray:
-            total = np.r_[np.zeros((1, values.shape[1]), np.int64), np.cumsum(values[rows.cols] * rows.vals[:, None], axis=0)]
-            return total[rows.ptr[1:]] - total[rows.ptr[:-1]]
+            out = np.empty((rows.ptr.size - 1, values.shape[1]), np.int64)
+            for k in range(values.shape[1]):
+                total = np.r_[0, np.cumsum(values[rows.cols, k] * rows.vals)]
+                out[:, k] = total[rows.ptr[1:]] - total[rows.ptr[:-1]]
+            return out
 
         return summed(self.held, np.c_[self.counts, summed(self.links, by_pair)])
 
