@@ -135,7 +135,7 @@ def next_state(state: DataFrame, results: DataFrame, complete: bool, now: Column
 
     ``results`` has ``tile_key, n_rows, ok`` for the tiles swept now.  A tile that
     answered joins or leaves ``empty`` by whether it had rows; a failed one keeps its
-    mark.  Swept tiles become ``done``; when the sweep is complete no ``done`` remains.
+    mark.  Swept tiles become ``done``; a completed sweep leaves no ``done``.
     """
     now = F.current_timestamp() if now is None else now
     answered = results.filter("ok").groupBy("tile_key").agg(F.sum("n_rows").alias("n_rows"))

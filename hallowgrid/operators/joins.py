@@ -1,6 +1,6 @@
 """Lookup joins, text joins, and exclusion joins.
 
-No join carries a broadcast hint.  Constant vocabularies are folded into the plan;
+No join here carries a broadcast hint.  Constant vocabularies are folded into the plan;
 tables handed in by the caller are broadcast only when Spark's own size estimate (or
 AQE's measured size) is under ``spark.sql.autoBroadcastJoinThreshold`` and are joined
 by a shuffle with skew splitting beyond it.

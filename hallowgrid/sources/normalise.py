@@ -399,7 +399,7 @@ def projects_naming_graves(
     feed: str = "the projects feed",
     limit: int = 0,
 ) -> DataFrame:
-    """Projects whose own text announces remains: reject phrases, then first phrase wins."""
+    """Projects whose own text names a find: reject phrases, then first phrase wins."""
     d = ensure_row_ord(projects).filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
     low = F.lower(F.concat_ws(" ", *[_t(F.col(c)) for c in ("name", "desc", "type", "status")]))
     wanted = text.contains_any(F.col("low"), [p for p, _ in phrases]) & ~text.contains_any(F.col("low"), reject)
