@@ -95,12 +95,17 @@ def _repeated(words: Column) -> Column:
 def measures(text: Column, stop_words=None) -> Column:
     """All counts of a text as one struct; its words and lines are found once and bound to lambda variables."""
     stops = sorted({w for ws in (stop_words or STOP_WORDS).values() for w in ws})
+    longest = 3 * max((len(w.encode()) for w in stops), default=0)  # a letter may take three times the bytes of its lower case
     text = F.coalesce(text, F.lit(""))
 
+    def stop(word: Column) -> Column:
+        bare = F.rtrim(word, F.lit(".,;:!?"))
+        return (F.octet_length(bare) <= longest) & F.lower(bare).isin(stops)
+
     def of(words: Column, t: Column) -> Column:
         chars = F.length(F.array_join(words, ""))
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
-        stopped = F.size(F.filter(words, lambda w: (F.octet_length(w) <= 12) & F.lower(F.rtrim(w, F.lit(".,;:!?"))).isin(stops)))
+        stopped = F.size(F.filter(words, stop))
         before = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
         after = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
         stutter = F.size(F.filter(F.zip_with(before, after, lambda a, b: a == b), lambda x: x))

@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter
 
-from hallowgrid.llm.quality_rules import RULES, Rule, rate_records
+from pyspark.sql import functions as F
+
+from hallowgrid.llm.quality_rules import RULES, Rule, measures, rate_records
 
 P = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -41,6 +43,11 @@ def test_rules_take_effect(spark):
     assert {r.row_ord for r in rate_records(df, rules=(*RULES, Rule("n_words", low=50))).collect() if r.kept} == set()
 
 
+def test_stop_words_may_have_many_marks(spark):
+    text = "the!!!!!!!!!!! grave of.,.,.,.,.,.,., THE old" + "?" * 50 + " wall and" + "." * 300
+    assert spark.createDataFrame([(text,)], "t string").select(measures(F.col("t"))["n_stop_words"]).first()[0] == 4
+
+
 def test_awkward_rows(awkward):
     rows = rate_records(awkward).collect()
     assert len(rows) == 10
