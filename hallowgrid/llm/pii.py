@@ -27,15 +27,39 @@ BLANK = r"\x20\x09-\x0D"
 #: A word with a digit or an at sign: what could be an identifier.
 WORDLIKE = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 OPENING, CLOSING = "([{<\"'", ")]}>\"',.;:!?"
-NEAR = 48
+#: The last two words of a text read backwards, and the first word of a text; words are never cut.
+LAST_TWO = rf"^[{BLANK}]*+[^{BLANK}]*+(?:[{BLANK}]++[^{BLANK}]++)?"
+FIRST = rf"^[{BLANK}]*+[^{BLANK}]*+"
+#: Code points of the pieces a text is cut into before spans are taken out of it.
+PIECE = 1024
+#: Beyond every place of a text.
+FAR = 2**31 - 1
 
 OCCURRENCE = "array<struct<start:int,end:int,body:string,left:string,right:string>>"
 
 
+def running(values: Column, step: Callable[[Column, Column], Column], none: Column) -> Column:
+    """``values`` folded by an associative ``step`` up to each place, by doubling the distance added in each round.
+
+    A fold that appends copies its list for every element; this takes one round for each bit of the length.
+    """
+
+    def add(s: Column, k: Column) -> Column:
+        moved = F.concat(F.array_repeat(none, F.call_function("shiftleft", F.lit(1), k)), s)
+        return F.zip_with(s, F.slice(moved, 1, F.size(s)), step)
+
+    def scan(v: Column) -> Column:
+        rounds = F.length(F.bin(F.size(v) - 1)) - 1  # the highest bit of the greatest distance
+        return F.when(F.size(v) > 1, F.aggregate(F.sequence(F.lit(0), rounds), v, add)).otherwise(v)
+
+    return let(values, scan)
+
+
 def occurrences(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
-    """Matches of ``pattern`` that pass ``keep``: code-point places and the text near them.
+    """Matches of ``pattern`` that pass ``keep``: code-point places and the words next to them.
 
-    The text between matches comes from splitting at the same pattern; places are running sums of lengths.
+    The text between matches comes from splitting at the same pattern; places are running sums of lengths.  ``left``
+    holds the last two words before a match, ``right`` the first after it, both whole, and none beyond another match.
     """
 
     def walk(gaps: Column, found: Column) -> Column:
@@ -44,16 +68,17 @@ def occurrences(text: Column, pattern: str, keep: Callable[[Column], Column]) ->
             found,
             lambda g, m: F.struct(g["a"].alias("before"), g["b"].alias("after"), m.alias("body")),
         )
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(OCCURRENCE).alias("out"))
+        lengths = F.zip_with(gaps, found, lambda g, m: F.length(g) + F.coalesce(F.length(m), F.lit(0)))
+        ends = running(F.slice(lengths, 1, F.size(found)), lambda a, b: a + b, F.lit(0))
+        held = F.filter(F.zip_with(pairs, ends, lambda p, e: F.struct(p.alias("p"), e.alias("end"))), lambda x: keep(x["p"]["body"]))
 
-        def add(s: Column, x: Column) -> Column:
-            at = s["at"] + F.length(x["before"])
-            end = at + F.length(x["body"])
-            left, right = F.right(x["before"], F.lit(NEAR)), F.left(x["after"], F.lit(NEAR))
-            one = F.struct(at.alias("start"), end.alias("end"), x["body"].alias("body"), left.alias("left"), right.alias("right"))
-            return F.struct(end.alias("at"), F.when(keep(x["body"]), F.array_append(s["out"], one)).otherwise(s["out"]).alias("out"))
+        def near(x: Column) -> Column:
+            left = F.reverse(F.regexp_extract(F.reverse(x["p"]["before"]), LAST_TWO, 0))
+            right = F.regexp_extract(x["p"]["after"], FIRST, 0)
+            body = x["p"]["body"]
+            return F.struct((x["end"] - F.length(body)).alias("start"), x["end"].alias("end"), body.alias("body"), left.alias("left"), right.alias("right"))
 
-        return F.aggregate(pairs, start, add, lambda s: s["out"])
+        return F.transform(held, near)
 
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return let(gaps, lambda g: let(found, lambda m: walk(g, m)))
@@ -113,19 +138,26 @@ def scanned(records: DataFrame, key: str, body: str) -> DataFrame:
 
 
 def _tagged(kind: str) -> Column:
-    return F.transform(F.col(kind), lambda o: F.struct(F.lit(kind).alias("kind"), o["start"].alias("start"), o["end"].alias("end"), o["body"].alias("body"), o["left"].alias("left"), o["right"].alias("right")))
+    return F.transform(F.col(kind), lambda o: F.struct(o["start"].alias("start"), F.lit(kind).alias("kind"), o["end"].alias("end"), o["body"].alias("body"), o["left"].alias("left"), o["right"].alias("right")))
 
 
 def contexts(found: DataFrame) -> DataFrame:
     """``did, dhash, kind, start, end, instance, patterns``: each seed and each other identifier-like word with the
     lexical patterns around it (two words before; one before with one after).  Words inside a seed are left out."""
-    spans = F.concat(*[_tagged(k) for k in KINDS])
-
-    def free(words: Column, taken: Column) -> Column:
-        apart = F.filter(words, lambda w: ~F.exists(taken, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
-        return F.transform(apart, lambda w: F.struct(F.lit(None).cast("string").alias("kind"), w["start"].alias("start"), w["end"].alias("end"), w["body"].alias("body"), w["left"].alias("left"), w["right"].alias("right")))
-
-    every = let(spans, lambda s: F.concat(s, free(F.col("words"), s)))
+    seeds = F.concat(*[_tagged(k) for k in KINDS])
+    words = F.transform("words", lambda w: F.struct(w["start"].alias("start"), F.lit(None).cast("string").alias("kind"), w["end"].alias("end"), w["body"].alias("body"), w["left"].alias("left"), w["right"].alias("right")))
+
+    def free(spans: Column) -> Column:
+        # In order of start, a seed before a word meets it by its end, one after it by its start.
+        reach = running(F.transform(spans, lambda s: F.when(s["kind"].isNull(), 0).otherwise(s["end"])), lambda a, b: F.greatest(a, b), F.lit(0))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(s["kind"].isNull(), F.lit(FAR)).otherwise(s["start"]))
+        ahead = F.reverse(running(starts, lambda a, b: F.least(a, b), F.lit(FAR)))
+        edges = F.zip_with(reach, ahead, lambda r, a: F.struct(r.alias("reach"), a.alias("ahead")))
+        both = F.zip_with(spans, edges, lambda s, e: F.struct(s.alias("s"), e.alias("e")))
+        apart = F.filter(both, lambda x: x["s"]["kind"].isNotNull() | ((x["e"]["reach"] <= x["s"]["start"]) & (x["e"]["ahead"] >= x["s"]["end"])))
+        return F.transform(apart, lambda x: x["s"])
+
+    every = let(F.array_sort(F.concat(seeds, words)), free)
     o = found.select("did", "dhash", F.explode(every).alias("o")).select("did", "dhash", "o.*")
     gap = f"[{BLANK}]+"
     before = F.split(F.translate(F.lower(F.rtrim(F.col("left"), F.lit(" \t\n\x0b\x0c\r"))), "0123456789", "0000000000"), gap)
@@ -170,7 +202,9 @@ def personal_data(
     are code points, the end exclusive, ordered by start, then kind as listed; ``dhash`` is ``xxhash64`` of the text.  ``base_sha256`` digests the seeds alone.
 
     Null and empty texts have no spans; null keys are carried; repeated rows get equal results and count once in the
-    graph; an empty table gives no rows; other columns are ignored.  Every count is over all records.
+    graph; an empty table gives no rows; other columns are ignored.  Every count is over all records.  A word is
+    identifier-like if it holds an at sign, or has six characters or more of which four are digits.  A text costs its
+    length times the bits of its number of matches.
     """
     spark = records.sparkSession
     found = reliable_checkpoint(spark, scanned(records, key, body))
@@ -203,17 +237,24 @@ def joined(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; of overlapping spans the first covers the rest."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    """The text with every span replaced by its kind in brackets; of overlapping spans the first covers the rest.
 
-    def add(s: Column, x: Column) -> Column:
-        fresh = x["start"] >= s["at"]
-        piece = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
-        mark = F.concat(F.lit("["), x["kind"], F.lit("]"))
-        out = F.when(fresh, F.concat(s["out"], F.array(piece, mark))).otherwise(s["out"])
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
+    ``spans`` are in order of start.  The text is cut into pieces once, so that a span far inside it is not reached
+    by counting from the beginning.
+    """
+
+    def cut(pieces: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        over = F.slice(pieces, first + 1, F.floor(b / PIECE).cast("int") - first + 1)
+        return F.when(b > a, F.substring(F.array_join(over, ""), a - first * PIECE + 1, b - a)).otherwise("")
 
-    def close(s: Column) -> Column:
-        return F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
+    def join(pieces: Column, reach: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), F.slice(reach, 1, F.size(reach) - 1))  # how far the spans before cover
+        parts = F.zip_with(
+            spans, before, lambda x, at: F.when(x["start"] >= at, F.concat(cut(pieces, at, x["start"]), F.lit("["), x["kind"], F.lit("]"))).otherwise("")
+        )
+        return F.concat(F.array_join(parts, ""), cut(pieces, F.element_at(reach, -1), F.length(text)))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, close)).otherwise(text)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    reach = running(F.transform(spans, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+    return F.when(F.size(spans) > 0, let(pieces, lambda p: let(reach, lambda r: join(p, r)))).otherwise(text)

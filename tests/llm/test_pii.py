@@ -74,3 +74,31 @@ def test_awkward_rows(spark, awkward):
     check(personal_data(long).collect(), texts | {1: ""})  # no match, which plain matching takes minutes to see
     assert personal_data(awkward.limit(0)).count() == 0
     assert personal_data(awkward).select(joined(F.col("spans"))).distinct().count() == 1
+
+
+def test_many_matches_in_one_text(spark):
+    rnd = random.Random(3)
+    texts = {1: " ".join(f"é{i} mail{i}@x{i}.org or 123-456{i:05d}," for i in range(30_000)), 2: "😀 a@b.c +1 (988) 555-2485 " * 500}
+    texts[3] = " ".join(rnd.choice(["a@b.c", "1.2.3.4", "x", "12345678", "+1.2.3.4@b.c"]) for _ in range(5000))
+    df = spark.createDataFrame(list(texts.items()), "row_ord long, desc string")
+    found = personal_data(df).cache()
+    rows = {r.row_ord: r for r in found.collect()}
+    check(rows.values(), texts)
+    out = df.join(found, "row_ord").select("row_ord", masked(F.col("desc"), F.col("spans")).alias("desc")).collect()
+    for r in out:
+        want, at, text = [], 0, texts[r.row_ord]
+        for s in rows[r.row_ord].spans:
+            if s.start >= at:
+                want.append(text[at : s.start] + f"[{s.kind}]")
+            at = max(at, s.end)
+        assert r.desc == "".join(want) + text[at:]
+
+
+def test_long_words_of_a_context_stay_whole(spark):
+    long = "x" * 60
+    # The word after each identifier differs, so only the two words before it can name row 9.
+    texts = [f"a{long} {long} number{i}@graves.example.org {chr(98 + i)}" for i in range(8)]
+    texts += [f"b{long} {long} KX-99812-77 y", f"a{long} {long} KX-55512-11 z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_ord long, desc string")
+    rows = {r.row_ord: r for r in personal_data(df).collect()}
+    assert [s.kind for s in rows[9].spans] == ["context"] and rows[8].spans == []
