@@ -128,10 +128,25 @@ ORACLES["op9_decontamination"] = r"""
     p AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM h, unnest(range(wide)) r(k) GROUP BY rid),
     t AS (SELECT rid, count(DISTINCT item_id) AS n_items,
                  sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
-          FROM h GROUP BY rid)
-    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+          FROM h GROUP BY rid),
+    k AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS term FROM d),
+    c AS (SELECT term, count(*) AS n FROM k GROUP BY term),
+    v AS (SELECT DISTINCT run, wide FROM w),
+    q AS (SELECT run, wide, off, x.term, row_number() OVER (PARTITION BY run, wide ORDER BY n, off) AS nth,
+                 count(*) OVER (PARTITION BY run, wide) AS present
+          FROM (SELECT run, wide, unnest(range(wide)) AS off, unnest(string_split(run, ' ')) AS term FROM v) x JOIN c USING (term)),
+    a AS (SELECT run, wide, min(off) AS off, arg_min(term, off) AS one, arg_max(term, off) AS two, max(off) - min(off) AS gap
+          FROM q WHERE nth <= 2 AND present >= 0.8 * wide GROUP BY run, wide),
+    m AS (SELECT DISTINCT x.rid, x.pos - off AS start, run, wide
+          FROM a JOIN k x ON x.term = one JOIN k y ON y.rid = x.rid AND y.term = two
+          WHERE wide = 1 OR y.pos - x.pos BETWEEN greatest(gap - 2, 1) AND gap + 2),
+    e AS (SELECT rid, run, wide FROM m JOIN d USING (rid), unnest(range(wide)) u(i)
+          WHERE list_contains(list_slice(ws, greatest(start + i - 2, 1), greatest(start + i + 2, 0)), string_split(run, ' ')[i + 1])
+          GROUP BY rid, start, run, wide HAVING count(*) >= 0.8 * wide),
+    n AS (SELECT rid, count(DISTINCT item_id) AS n_near FROM e JOIN w USING (run, wide) GROUP BY rid)
+    SELECT doc_id, coalesce(n_near, 0)::BIGINT AS n_near, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
            coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)"""
+    FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid) LEFT JOIN n USING (rid)"""
 
 
 @query
