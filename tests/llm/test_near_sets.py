@@ -1,8 +1,11 @@
 import random
+import time
+
+import numpy as np
 
 import corpus_pipeline as cp
 from hallowgrid.llm.near_dup import fingerprint
-from hallowgrid.llm.near_sets import first_of_groups
+from hallowgrid.llm.near_sets import FEW, first_of_groups, span
 
 
 def plain(text):
@@ -76,3 +79,50 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark, tmp_path):
     rows = [(5, f"see {item} here"), (5, "clean text"), (None, item), (None, "clean text"), (None, None), (7, f"x {item}"), (8, "clean text")]
     out = cp.benchmark_free(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, ""), (0, "clean text"), (5, "clean text"), (8, "clean text")]
+
+
+def parts(n, links):
+    up = list(range(n))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        up[top(a)] = top(b)
+    return [top(i) for i in range(n)]
+
+
+def test_indexed_buckets_agree_with_all_pairs():
+    rnd = np.random.default_rng(5)
+    for k in (2, FEW, FEW + 1, 150, 300):
+        for share in (1.0, 0.95, 0.8, 0.5):
+            core = np.arange(rnd.integers(1, 80))
+            sets = [np.unique(np.r_[core[rnd.random(core.size) < share], rnd.integers(100, rnd.choice([112, 160, 10**6]), rnd.integers(1, 12))]) for _ in range(k)]
+            links = span(np.array([s.size for s in sets]), np.concatenate(sets))
+            plain_sets = [set(s.tolist()) for s in sets]
+            near = [(a, b) for a in range(k) for b in range(a) if similar(plain_sets[a], plain_sets[b])]
+            assert all(similar(plain_sets[a], plain_sets[b]) for a, b in links)
+            got, want = parts(k, links), parts(k, near)
+            assert len(set(got)) == len(set(want)) == len(set(zip(got, want)))
+
+
+def test_a_bucket_of_one_template_grows_with_its_sets():
+    """All pairs lie at a similarity of about 0.74; 16,000 sets are compared in a time that all pairs would need for few."""
+    n = 16_000
+    sets = [np.r_[np.arange(196), 1000 + 40 * i + np.arange(34)] for i in range(n)]
+    sets[-1] = sets[0][:-1]
+    began = time.time()
+    assert span(np.array([s.size for s in sets]), np.concatenate(sets)) == [(0, n - 1)]
+    assert time.time() - began < 40
+
+
+def test_long_texts_and_many_texts_of_one_template(spark):
+    frame = " ".join(f"t{i}" for i in range(60))
+    rows = [(i, i, f"{frame} " + " ".join(f"u{i}x{k}" for k in range(14))) for i in range(300)]
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows += [(300, 300, long), (301, 301, long + " tail"), (302, None, rows[5][2] + " tail"), (303, 5, rows[5][2])]
+    df = spark.createDataFrame(rows, "row long, node long, desc string").selectExpr("*", "'x' AS first", "'y' AS bands", "'z' AS key")
+    got = {r[0] for r in first_of_groups(df, "row", "node", "desc").collect()}
+    assert got == firsts(rows)
