@@ -11,6 +11,8 @@ STEP = 2862933555777941757
 LOW = 0xFFFFFFFF
 #: Sub-ranges of one shard; slots are counted in each and laid end to end.
 SLOT_RANGES = 1024
+#: Rows of equal key and text that one task numbers at most in one go.
+RUN = 16384
 
 
 def _times32(x: Column, c: int) -> Column:
@@ -69,7 +71,7 @@ def shard_records(records: DataFrame, n_shards: int = 24, key: str = "row_ord",
     the text, ``text_crc32`` its unsigned checksum; ``slot`` counts from 0 without gaps in each shard.
 
     A null key is a key of its own (all such rows share a shard); a null text counts as empty; repeated rows each
-    get a slot; an empty table gives no rows; other columns are ignored.  Slots are counted in 1,024 sub-ranges of a
+    get a slot (they are counted first, so that a key with most rows is no large group); an empty table gives no rows; other columns are ignored.  Slots are counted in 1,024 sub-ranges of a
     shard and laid end to end, so no task orders a whole shard.
     """
     if n_shards < 1:
@@ -89,17 +91,27 @@ def shard_records(records: DataFrame, n_shards: int = 24, key: str = "row_ord",
         F.when(F.col("_at.next") == n_shards, F.lit(n_shards)).otherwise(F.col("_at.shard")).alias("grown_shard"),
         F.pmod(F.xxhash64("_hash", "text_crc32", F.lit("slot")), F.lit(SLOT_RANGES)).cast("int").alias("_range"),
     )
+    # Rows of equal key and text look the same, so they are counted, and get consecutive slots.
+    same = ["shard", "_range", "row_ord", "text_crc32", "size", "grown_shard"]
+    base = base.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
     ahead = W.partitionBy("shard").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    counts = base.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy("shard", "_range").agg(F.sum("_n").alias("_n"))
     offsets = counts.select("shard", "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
     order = W.partitionBy("shard", "_range").orderBy("row_ord", "text_crc32", "size")
-    placed = base.withColumn("_nth", F.row_number().over(order) - 1).join(offsets, ["shard", "_range"])
-    return placed.select(
+    nth = F.coalesce(F.sum("_n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = base.withColumn("_nth", nth).join(offsets, ["shard", "_range"]).withColumn("_first", F.col("_before") + F.col("_nth"))
+    # A group with a large share of all rows is cut into runs of slots, which are dealt out before they become rows.
+    runs = placed.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(RUN).cast("long"))))
+    # A stated number keeps adaptive execution from merging runs by their small size before they become rows.
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.repartition(parts, "shard", "_range", "_run")
+    last = F.least(F.col("_run") + RUN, F.col("_n")) - 1
+    return dealt.withColumn("_at", F.explode(F.sequence("_run", last))).select(
         "row_ord",
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
         "shard",
-        (F.col("_before") + F.col("_nth")).cast("long").alias("slot"),
+        (F.col("_first") + F.col("_at")).cast("long").alias("slot"),
         F.col("grown_shard").cast("int").alias("grown_shard"),
     )

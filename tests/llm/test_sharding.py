@@ -49,3 +49,14 @@ def test_awkward_rows(awkward):
 def test_single_shard_and_other_keys(awkward):
     assert {(r.shard, r.grown_shard in (0, 1)) for r in shard_records(awkward, 1).collect()} == {(0, True)}
     assert shard_records(awkward, 5, key="source").select("row_ord").distinct().count() == 4
+
+
+def test_rows_of_one_key_and_text_are_no_large_group(spark):
+    """Equal rows reach the numbering as one counted row, and become rows again in runs."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("row_ord"), F.when(F.col("id") % 4 == 0, F.lit("x")).alias("desc"))
+    out = shard_records(df, 24)
+    hot = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert hot < 120_000
+    by = out.groupBy("shard").agg(F.count("slot").alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()
+    assert sum(r.n for r in by) == 200_000 and all(r.n == r.d == r.high + 1 and r.low == 0 for r in by)
+    assert out.filter("row_ord IS NULL").count() == 150_000
